@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with an independent SQL oracle."""
 
-from tierline.suite import survey_queries  # noqa: F401
+from tierline.suite import shape_queries, source_queries, step_queries, survey_queries  # noqa: F401
 from tierline.suite.registry import ENTRIES
 
 __all__ = ["ENTRIES"]
