@@ -12,12 +12,8 @@ def to_int(col: Column) -> Column:
     The regular path is a single cast. Only values it rejects are looked at
     again, and of those only plain decimals such as ``1.9`` or ``-0.5`` count.
     """
-    whole = F.substring_index(F.trim(col), ".", 1)
-    truncated = F.when(
-        col.rlike(r"^\s*[+-]?\d*\.\d*\s*$"),
-        F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int")),
-    )
-    return F.coalesce(col.try_cast("int"), truncated)
+    decimal = col.rlike(r"^\s*[+-]?(\d+\.\d*|\.\d+)\s*$")
+    return F.coalesce(col.try_cast("int"), F.when(decimal, col.try_cast("double").try_cast("int")))
 
 
 def to_double(col: Column) -> Column:

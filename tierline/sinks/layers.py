@@ -23,7 +23,7 @@ def layer_path(country: str, pipeline: str, execution_id: str, ingestion_time: s
 def write_parquet(df: DataFrame, path: str, full: bool = True) -> None:
     """Snappy Parquet; a full run replaces the folder.
 
-    Timestamps come out in microseconds, the default since Spark 4.1.
+    Timestamps come out in microseconds if the session has SESSION_SETTINGS.
     """
     df.write.mode("overwrite" if full else "append").option("compression", "snappy").parquet(path)
 

@@ -30,17 +30,22 @@ def publish_files(df: DataFrame, path: str, write_mode: str = "replace") -> str:
 
 
 def publish_jdbc(
-    df: DataFrame, url: str, table: str, write_mode: str = "replace", properties: Mapping[str, str] | None = None
+    df: DataFrame,
+    url: str,
+    table: str,
+    write_mode: str = "replace",
+    properties: Mapping[str, str] | None = None,
+    connections: int = 8,
 ) -> str:
     """All rows as text into a database table, which is created if missing.
 
     ``replace`` truncates and keeps the table and its grants. Executors write in
-    parallel, each its own partitions.
+    parallel, over at most ``connections`` at a time.
     """
     if df.isEmpty():
         return "skipped"
     mode = "overwrite" if write_mode == "replace" else "append"
-    writer = as_text(df).write.option("truncate", True).option("batchsize", 1000)
+    writer = as_text(df).write.option("truncate", True).options(batchsize=1000, numPartitions=connections)
     writer.mode(mode).jdbc(url, table, properties=dict(properties or {}))
     return "loaded"
 

@@ -31,11 +31,13 @@ def _field(schema: T.DataType, name: str) -> T.StructField | None:
 
 
 def _records(docs: DataFrame, items: Column, dtype: T.DataType) -> DataFrame:
-    """The elements of an array, or a single struct, as rows."""
-    element = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
-    rows = docs.select((F.explode(items) if isinstance(dtype, T.ArrayType) else items).alias("record"))
+    """The elements of an array as rows, null elements too, or a single object."""
+    if isinstance(dtype, T.ArrayType):
+        element, rows = dtype.elementType, docs.select(F.explode(items).alias("record"))
+    else:
+        element, rows = dtype, docs.select(items.alias("record")).filter("record IS NOT NULL")
     if isinstance(element, T.StructType):
-        return rows.filter("record IS NOT NULL").select("record.*")
+        return rows.select("record.*")
     return rows.select(F.col("record").alias("value"))
 
 

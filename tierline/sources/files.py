@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections import defaultdict
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -49,7 +50,7 @@ def pick_up_csv(
     mixed_headers: bool = False,
     file_columns: bool = False,
 ) -> DataFrame:
-    """All CSV files of a drop folder, every value a string.
+    """All CSV files below a drop folder, every value a string.
 
     An empty field is an empty string, not null. All files must share one
     header, which is checked; with ``mixed_headers`` files are grouped by their
@@ -78,8 +79,16 @@ def pick_up_csv(
     return concat(*[scan(paths, header) for header, paths in groups])
 
 
+def _charset(encoding: str) -> str:
+    """Spark's name of an encoding that may be written as Python knows it."""
+    name = codecs.lookup(encoding).name
+    return {"iso8859-1": "iso-8859-1", "ascii": "us-ascii"}.get(name, name)
+
+
 def _csv_reader(spark: SparkSession, sep: str, encoding: str, modified_after: str | None):
-    reader = spark.read.options(header=True, sep=sep, encoding=encoding, pathGlobFilter=CSV_SUFFIX)
+    reader = spark.read.options(
+        header=True, sep=sep, encoding=_charset(encoding), pathGlobFilter=CSV_SUFFIX, recursiveFileLookup=True
+    )
     return reader.option("modifiedAfter", modified_after) if modified_after else reader
 
 
@@ -97,7 +106,7 @@ def _files_by_header(spark, folder, sep, encoding, modified_after) -> list[tuple
 
     Brings one line per file to the driver, which lists the files anyway.
     """
-    reader = spark.read.option("pathGlobFilter", CSV_SUFFIX)
+    reader = spark.read.options(pathGlobFilter=CSV_SUFFIX, recursiveFileLookup=True)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     lines = reader.text(folder).select(
@@ -116,7 +125,7 @@ def _files_by_header(spark, folder, sep, encoding, modified_after) -> list[tuple
         groups[row.line].append(unquote(row.path))
     result = []
     for line, paths in groups.items():
-        header = spark.read.options(header=True, sep=sep, encoding=encoding).csv(paths[0]).columns
+        header = spark.read.options(header=True, sep=sep, encoding=_charset(encoding)).csv(paths[0]).columns
         result.append((header, paths))
     return result
 
@@ -131,9 +140,13 @@ def read_run(spark: SparkSession, table_path: str, execution_id: str, schema: T.
     return read_parquet(spark, table_path, schema=schema).filter(F.col("execution_id") == execution_id)
 
 
-def read_below(df: DataFrame, prefix: str) -> DataFrame:
-    """Rows of files below ``prefix``; Spark prunes files by path before reading."""
-    return df.filter(F.col("_metadata.file_path").startswith(prefix.rstrip("/") + "/"))
+def read_below(spark: SparkSession, root: str, prefix: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Rows of files below a folder of a table; nothing else is listed.
+
+    Columns that the folders between ``root`` and ``prefix`` stand for are kept.
+    """
+    reader = spark.read.option("basePath", root)
+    return (reader.schema(schema) if schema else reader).parquet(f"{root.rstrip('/')}/{prefix.strip('/')}")
 
 
 def read_all_runs(spark: SparkSession, root: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -7,13 +7,15 @@ once, also after a failure, and files that arrive with old times are not missed.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.sinks.tables import SnapshotTable
+from tierline.operators.shape import quoted
+from tierline.sinks.tables import SnapshotTable, merge_partitions
 
 
 def new_files(
@@ -73,8 +75,30 @@ def upsert_available(
         if not table.has_commit(tag):
             table.merge(prepare(batch) if prepare else batch, keys, tag)
 
+    return _each_batch(stream, merge, checkpoint)
+
+
+def upsert_partitions_available(
+    stream: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str], checkpoint: str
+) -> StreamingQuery:
+    """Merges what is new into a partitioned table, then stops.
+
+    Only the partitions a batch touches are rewritten. A batch that comes again
+    replaces its own rows, which needs a key in every row: a null is an error.
+    """
+    any_null = reduce(lambda a, b: a | b, [F.col(quoted(k)).isNull() for k in keys])
+    first = F.col(quoted(keys[0]))
+    checked = F.when(any_null, F.raise_error(F.lit(f"null in the merge key {list(keys)}"))).otherwise(first)
+
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_partitions(batch.sparkSession, path, batch.withColumn(keys[0], checked), keys, partitions)
+
+    return _each_batch(stream, merge, checkpoint)
+
+
+def _each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (
-        stream.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(action)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import quality, runs
 from tierline.plans import batch
-from tierline.sinks.tables import SnapshotTable
+from tierline.sinks.tables import SnapshotTable, merge_partitions
 from tierline.streaming import files as streams
 from tierline.suite.incremental_queries import _CONTROL_SQL, _control
 from tierline.suite.registry import query, table
@@ -168,3 +168,23 @@ def stream_upsert(spark, sf_dir):
     stream = streams.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     streams.upsert_available(stream.select("event_id", "user_id", "event_type"), events, ["event_id"], f"{root}/checkpoint")
     return events.read()
+
+
+@query(
+    "STR2 SNK5",
+    """SELECT strftime(ts, '%Y%m%d') AS day, event_id, event_type FROM events
+    UNION ALL SELECT strftime(ts, '%Y%m%d'), -1 - event_id, 'old' FROM events""",
+)
+def stream_upsert_by_day(spark, sf_dir):
+    """As before, into a table of days; days without new events stay as they are."""
+    root = new_dir(spark, "stream")
+    day = F.date_format("ts", "yyyyMMdd").alias("day")
+    events = table(spark, sf_dir, "events")
+    old = events.select(day, "event_id", F.lit("old").alias("event_type"))
+    others = events.select(day, (-1 - F.col("event_id")).alias("event_id"), F.lit("old").alias("event_type"))
+    merge_partitions(spark, f"{root}/events", old.unionByName(others), ["day", "event_id"], ["day"])
+    stream = streams.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    streams.upsert_partitions_available(
+        stream.select(day, "event_id", "event_type"), f"{root}/events", ["day", "event_id"], ["day"], f"{root}/checkpoint"
+    )
+    return spark.read.schema("event_id long, event_type string, day string").parquet(f"{root}/events")

@@ -91,13 +91,10 @@ def path_pruned_scan(spark, sf_dir):
     return files.read_run(spark, root, "P")
 
 
-@query("SRC6", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@query("SRC6", "SELECT o_orderkey, o_totalprice, o_orderstatus AS execution_id FROM orders WHERE o_orderstatus = 'F'")
 def path_prefix_scan(spark, sf_dir):
     root = _orders_by_status(spark, sf_dir)
-    everything = files.read_parquet(spark, root)
-    some_file = everything.filter("execution_id = 'F'").select("_metadata.file_path").first()
-    prefix = some_file.file_path.rpartition("/")[0] if some_file else f"{root}/execution_id=F"
-    return files.read_below(everything, prefix).select("o_orderkey", "o_totalprice")
+    return files.read_below(spark, root, "execution_id=F")
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Where jobs put intermediate files.
+"""Session settings, and where jobs put intermediate files.
 
 Everything written between two stages (landed batches, snapshots, stream
 checkpoints) goes under the shared folder the cluster names in
@@ -13,6 +13,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Worth setting when a session is built; the library itself sets nothing.
+SESSION_SETTINGS = {
+    # Dozens of KPI columns make one generated method that the JVM would never
+    # compile (its limit is 8000 bytes); beyond it Spark splits the code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # No stack trace per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Layers hold INT64 timestamps; readers other than Spark cannot all do INT96.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # The defaults, named because skewed joins and rebalanced writes rest on them.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
 
