@@ -10,10 +10,10 @@ def to_int(col: Column) -> Column:
     """Integer from text; a well-formed fraction is cut off, anything else is null.
 
     The regular path is a single cast. Only values it rejects are looked at
-    again, and of those only plain decimals such as ``1.9`` or ``-0.5`` count.
+    again, and of those only plain decimals such as ``1.9`` or ``-.5`` change.
     """
-    decimal = col.rlike(r"^\s*[+-]?(\d+\.\d*|\.\d+)\s*$")
-    return F.coalesce(col.try_cast("int"), F.when(decimal, col.try_cast("double").try_cast("int")))
+    without_fraction = F.regexp_replace(col, r"^(\s*[+-]?)(\d*)\.\d*\s*$", "$10$2")
+    return F.coalesce(col.try_cast("int"), without_fraction.try_cast("int"))
 
 
 def to_double(col: Column) -> Column:

@@ -69,6 +69,15 @@ KIT_COLUMNS = (
     "stock_info_supply_dispbag_stock",
 )
 
+# --- fixed values: what life-saving stock is made of ---------------------
+AL_COLUMN = "stock_info_supply_actal20_so_stock"
+ASAQ_COLUMNS = ("stock_info_supply_act25_stock", "stock_info_supply_actasaq50_stock")
+MEDICINE_COLUMNS = (
+    "stock_info_supply_amox_stock",
+    "stock_info_supply_ors_stock",
+    "stock_info_supply_zinc_stock",
+)
+
 # --- fixed values: notes that tell the AL stock, first match wins --------
 AL_IN_STOCK_PHRASES = (
     "cha has act( al)",

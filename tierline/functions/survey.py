@@ -6,6 +6,7 @@ with one ``withColumns``. Later groups may name columns of earlier ones.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -18,6 +19,10 @@ from tierline.functions import fixed_values as fv
 from tierline.functions.casts import flag, flag_or_null, time_on_day, to_day, to_double, to_int, to_ts
 
 
+# Helper between the two steps of add_kpis: amoxicillin, ORS and zinc in stock.
+MEDICINES = "_medicines_instock"
+
+
 @dataclass(frozen=True)
 class SurveyRules:
     """The dated parts of the rules; everything else is a fixed value."""
@@ -134,40 +139,32 @@ def supervision() -> dict[str, Column]:
     }
 
 
-def _any_act() -> Column:
-    return _is_one("stock_info_supply_actal20_so_stock") | (
-        _is_one("stock_info_supply_act25_stock") & _is_one("stock_info_supply_actasaq50_stock")
-    )
-
-
-def _basic_medicines() -> Column:
-    return (
-        _is_one("stock_info_supply_amox_stock")
-        & _is_one("stock_info_supply_ors_stock")
-        & _is_one("stock_info_supply_zinc_stock")
-    )
+def _all_one(names: Sequence[str]) -> Column:
+    """All of the flags are 1; one small loop however many flags there are."""
+    return F.forall(F.array(*names), lambda answer: to_int(answer) == 1)
 
 
 def stock() -> dict[str, Column]:
     notes = F.lower(F.coalesce(F.col("txt_notes"), F.lit("")))
 
-    def mentions(phrases) -> Column:
-        return reduce(lambda a, b: a | b, [notes.contains(p) for p in phrases])
+    def mentions(phrases: Sequence[str]) -> Column:
+        return F.exists(F.array(*[F.lit(p) for p in phrases]), lambda phrase: F.contains(notes, phrase))
 
     told = F.when(mentions(fv.AL_IN_STOCK_PHRASES), 1).when(mentions(fv.AL_OUT_OF_STOCK_PHRASES), 0)
+    any_act = _is_one(fv.AL_COLUMN) | _all_one(fv.ASAQ_COLUMNS)
     return {
-        "supply_actal20_so_stock_clean": F.coalesce(_number("stock_info_supply_actal20_so_stock"), told),
-        "supply_act_any_stock": flag(_any_act()),
-        "lifesaving_instock": flag(_any_act() & _basic_medicines()),
-        "nchap_commodities": flag(reduce(and_, [_is_one(c) for c in fv.KIT_COLUMNS])),
+        "supply_actal20_so_stock_clean": F.coalesce(_number(fv.AL_COLUMN), told),
+        "supply_act_any_stock": flag(any_act),
+        MEDICINES: flag(_all_one(fv.MEDICINE_COLUMNS)),
+        "nchap_commodities": flag(_all_one(fv.KIT_COLUMNS)),
     }
 
 
 def stock_composite() -> dict[str, Column]:
+    medicines = F.col(MEDICINES) == 1
     return {
-        "lifesaving_instock_al": flag(
-            (F.col("supply_actal20_so_stock_clean") == 1) & _basic_medicines()
-        )
+        "lifesaving_instock": flag((F.col("supply_act_any_stock") == 1) & medicines),
+        "lifesaving_instock_al": flag((F.col("supply_actal20_so_stock_clean") == 1) & medicines),
     }
 
 
@@ -217,7 +214,7 @@ def add_kpis(df: DataFrame, rules: SurveyRules = SurveyRules()) -> DataFrame:
             **community(),
             **partner(rules),
         }
-    ).withColumns({**incentive_composite(), **stock_composite(), **cases_composite()})
+    ).withColumns({**incentive_composite(), **stock_composite(), **cases_composite()}).drop(MEDICINES)
 
 
 def county_level_only(df: DataFrame) -> DataFrame:
