@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from tierline.operators import joins, reports
+from tierline.plans.publish import publish_monthly
 from tierline.sinks import publish
+from tierline.sinks.tables import SnapshotTable
 
 UPDATES = (
     "id string, numerator long, denominatorOverride long, value double, narrative string, status string, "
@@ -126,3 +128,17 @@ def test_star(spark, rows):
     assert rows(got) == sorted(
         [("e1", "o1", 1, "E one", "U"), ("e1", "o1", 1, "E uno", "U"), ("e2", "o9", 2, None, None), (None, "o1", 3, None, "U")], key=repr
     )
+
+
+def test_publish_job(spark, rows, tmp_path):
+    report = spark.createDataFrame(
+        [(2024, 1, 1, 40, 30, None, 8, 5, 10), (2024, 1, 0, 9, 1, 1, 1, 1, 1)],
+        "cy_year int, cy_month int, managed_county int, total_surveyed long, n_correct_ontime_fy26 long, n_has_chc long, "
+        "n_lifesaving_instock long, n_two_plusvisits long, d_two_plusvisits long",
+    )
+    updates = SnapshotTable(spark, str(tmp_path / "updates"))
+    updates.replace(spark.createDataFrame([], UPDATES))
+    for _ in range(2):
+        assert tuple(publish_monthly(report, _targets(spark), updates, "bot@x", F.lit("t"))) == (3, 5)
+    assert rows(updates.read(), "okrId", "numerator", "value") == [("def-a", 30, 75.0), ("def-c", None, None), ("def-d", 8, 20.0)]
+    assert publish_monthly(report.limit(0), _targets(spark), updates, "bot@x", F.lit("t")) is None

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Worth setting when a session is built; the library itself sets nothing.
 SESSION_SETTINGS = {
@@ -47,3 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame computed once, into the shared folder, with its lineage cut."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
