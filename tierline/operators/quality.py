@@ -60,7 +60,7 @@ def custom_sql(df: DataFrame, query: str, expected: int = 0) -> DataFrame:
     No row, or a null, counts as 0.
     """
     found = df.sparkSession.sql(query, table=df)
-    first = F.col(quoted(found.columns[0])).cast("long")
+    first = F.col(quoted(found.columns[0])).try_cast("long")
     actual = F.coalesce(F.first(first), F.lit(0).cast("long"))
     verdict = _result("custom_sql", F.lit(query), actual, F.lit(expected), actual == expected)
     return found.limit(1).agg(F.array(verdict).alias("r")).select(F.inline("r"))

@@ -115,11 +115,9 @@ _CONTROL_SQL = """control AS (SELECT CAST(user_id AS VARCHAR) AS pipeline_name,
 
 
 @query(
-    "INC2 INC5",
-    f"""WITH {_CONTROL_SQL}, news AS (SELECT CAST(user_id AS VARCHAR) AS pipeline_name,
-      max(CASE WHEN event_type <> 'view' THEN CAST(event_id AS VARCHAR) ELSE '' END) AS v FROM events
-      WHERE user_id > 20 GROUP BY user_id),
-    fresh AS (SELECT * FROM news WHERE v <> '')
+    "INC2",
+    f"""WITH {_CONTROL_SQL}, fresh AS (SELECT CAST(s_suppkey AS VARCHAR) AS pipeline_name, s_name AS v
+      FROM supplier WHERE s_acctbal > 0)
     SELECT coalesce(c.pipeline_name, f.pipeline_name) AS pipeline_name,
       CASE WHEN f.v IS NULL THEN c.last_watermark_value ELSE f.v END AS last_watermark_value,
       CASE WHEN f.v IS NULL THEN c.last_successful_run ELSE '2024-02-01' END AS last_successful_run,
@@ -127,8 +125,10 @@ _CONTROL_SQL = """control AS (SELECT CAST(user_id AS VARCHAR) AS pipeline_name,
     FROM control c FULL OUTER JOIN fresh f ON c.pipeline_name = f.pipeline_name""",
 )
 def watermark_upsert(spark, sf_dir):
-    news = _texts(spark, sf_dir).filter("user_id > 20").groupBy(F.col("user_id").cast("string").alias("pipeline_name")).agg(
-        F.max("updated").alias("last_watermark_value"),
+    """A pipeline per supplier has run; those in debt found nothing new."""
+    news = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("pipeline_name"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_name")).otherwise("").alias("last_watermark_value"),
         F.lit("2024-02-01").alias("last_successful_run"),
         F.lit("run-2").alias("last_execution_id"),
     )
