@@ -96,6 +96,13 @@ def test_generic_container_order(spark, tmp_path, rows):
     assert rows(envelopes.first_container(df), "a") == [(1,), (2,), (3,)]
     bare = _docs(spark, tmp_path, {"a": 1}, {"a": 2})
     assert rows(envelopes.first_container(bare)) == [(1,), (2,)]
+    assert rows(envelopes.first_container(bare, columns=["a", "b"])) == [("1", None), ("2", None)]
+    mixed = _docs(spark, tmp_path, {"results": [{"a": 1, "l": [1]}, None]}, {"data": [{"a": "x", "l": "y"}]}, {"data": []})
+    assert rows(envelopes.first_container(mixed), "a", "l") == sorted([("1", "[1]"), (None, None), ("x", "y")], key=repr)
+    values = _docs(spark, tmp_path, {"results": [1, 2]})
+    assert rows(envelopes.first_container(values)) == [(1,), (2,)]
+    single = _docs(spark, tmp_path, {"data": {"a": 1}})
+    assert rows(envelopes.first_container(single)) == [(1,)]
 
 
 def test_rows_by_header(spark, tmp_path):

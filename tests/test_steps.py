@@ -117,6 +117,6 @@ def test_partitioned_layer_replaces_only_its_folders(spark, tmp_path, rows):
     root = str(tmp_path / "layer")
     for run, n in [("r1", 2), ("r2", 3), ("r1", 1)]:
         df = layers.with_layer_columns(spark.range(n), "c", "p", run, "2024-02-03T00:00:00")
-        layers.write_partitioned(df, root)
+        layers.write_partitioned(df, root, one_folder=True)
     counts = spark.read.parquet(root).groupBy("execution_id", "year", "month", "day").count()
     assert rows(counts) == [("r1", 2024, 2, 3, 1), ("r2", 2024, 2, 3, 3)]

@@ -39,7 +39,7 @@ def flag_percentage(flag: Column, name: str) -> Column:
     return F.round(F.avg(flag.cast("double")) * 100, 1).alias(name)
 
 
-# Report measures: label -> source column. A flag that is always 0 or 1 has a
+# fixed values: report measures, label -> source column. A flag that is always 0 or 1 has a
 # numerator and a percentage, one that may be unanswered has a denominator too.
 ALWAYS_SET = {
     "correct_ontime": "correct_ontime",
@@ -89,6 +89,7 @@ def calendar_month_report(curated: DataFrame) -> DataFrame:
     )
 
 
+# fixed values: columns of the record report
 RECORD_COLUMNS = (
     "_id",
     "county_label",

@@ -41,15 +41,18 @@ def with_layer_columns(df: DataFrame, country: str, pipeline: str, execution_id:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
-def write_partitioned(df: DataFrame, root: str, partitions: Sequence[str] = LAYER_PARTITIONS, full: bool = True) -> None:
+def write_partitioned(
+    df: DataFrame, root: str, partitions: Sequence[str] = LAYER_PARTITIONS, full: bool = True, one_folder: bool = False
+) -> None:
     """A layer as one table with a folder per run, so reads prune by run or day.
 
-    The rebalance brings rows of a folder together to avoid small files, and
-    adaptive execution splits a folder that is too large for one task. With
-    ``full`` only the folders this frame has rows for are replaced.
+    Rows of a folder are brought together to avoid small files, and adaptive
+    execution splits a folder that is too large for one task. A frame that goes
+    to ``one_folder`` needs no such shuffle. With ``full`` only the folders this
+    frame has rows for are replaced.
     """
-    columns = [F.col(quoted(c)) for c in partitions]
-    writer = df.hint("rebalance", *columns).write.option("compression", "snappy")
+    rows = df if one_folder else df.hint("rebalance", *[F.col(quoted(c)) for c in partitions])
+    writer = rows.write.option("compression", "snappy")
     if full:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

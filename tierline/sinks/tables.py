@@ -20,7 +20,6 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +27,7 @@ from pyspark.sql import types as T
 from tierline.operators.joins import concat, new_columns, without_matches
 from tierline.operators.shape import quoted
 from tierline.sinks.layers import clustered
-from tierline.workspace import new_dir
+from tierline.workspace import new_dir, path_exists
 
 COMMIT_SCHEMA = "version long, tag string, folders array<string>, table_schema string"
 
@@ -108,12 +107,8 @@ class SnapshotTable:
     # -- reading
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        path = f"{self.path}/commits"
+        return self.spark.read.schema(COMMIT_SCHEMA).json(path) if path_exists(self.spark, path) else None
 
     def _current(self):
         commits = self._commits()
@@ -212,19 +207,16 @@ def merge_partitions(spark: SparkSession, path: str, staging: DataFrame, keys: S
     Rows can only match within their partition, so the others are neither read
     nor written. The merged partitions are first written aside and then put in
     place; if that last step dies, running it again from the side folder gives
-    the same table.
+    the same table. Staging is read three times, so pass a written batch.
     """
     if not keys:
         raise ValueError("a merge needs key columns")
     if not set(partitions) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
-    try:
-        found = spark.read.parquet(path).schema
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         _write_partitions(staging, path, partitions)
         return
+    found = spark.read.parquet(path).schema
     # folder names carry no type, so 202401 would come back as a number
     declared = {f.name: f.dataType for f in staging.schema if f.name in partitions}
     target = spark.read.schema(

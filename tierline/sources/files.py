@@ -7,13 +7,13 @@ from collections import defaultdict
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators.joins import concat
 from tierline.operators.shape import quoted
+from tierline.workspace import path_exists
 
 CSV_SUFFIX = "*.[cC][sS][vV]"
 _MALFORMED = "_malformed_line"
@@ -160,12 +160,9 @@ def read_all_runs(spark: SparkSession, root: str, schema: T.StructType | str | N
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet folder, or no rows when nothing has been written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def extract_view(spark: SparkSession, view: str) -> DataFrame:

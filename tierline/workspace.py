@@ -49,6 +49,12 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, on whatever file system it names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The frame computed once, into the shared folder, with its lineage cut."""
     context = df.sparkSession.sparkContext
