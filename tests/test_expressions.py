@@ -190,9 +190,20 @@ def test_act_by_either_formulation(spark):
 
 def test_full_kit_needs_all_fourteen(spark):
     full = dict.fromkeys(fv.KIT_COLUMNS, "1")
-    rows = _curated(spark, full, *[{**full, c: "0"} for c in fv.KIT_COLUMNS])
+    odd = dict(zip(fv.KIT_COLUMNS, ["1.0", " 1", "01", "+1"]))
+    rows = _curated(
+        spark,
+        full,
+        *[{**full, c: "0"} for c in fv.KIT_COLUMNS],
+        {**full, **odd},
+        {**full, **odd, fv.KIT_COLUMNS[-1]: "0.0"},
+        {**full, fv.KIT_COLUMNS[3]: None},
+        {**full, fv.KIT_COLUMNS[3]: "yes"},
+        {**full, **odd, fv.KIT_COLUMNS[-1]: None},
+        {**full, fv.KIT_COLUMNS[3]: "2"},
+    )
     assert len(fv.KIT_COLUMNS) == 14
-    assert [r.nchap_commodities for r in rows] == [1] + [0] * 14
+    assert [r.nchap_commodities for r in rows] == [1] + [0] * 14 + [1, 0, 0, 0, 0, 0]
 
 
 def test_only_county_level_organisations_stay(spark):

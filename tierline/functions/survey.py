@@ -140,17 +140,26 @@ def supervision() -> dict[str, Column]:
 
 
 def _all_one(names: Sequence[str]) -> Column:
-    """All of the flags are 1; one small loop however many flags there are."""
-    return F.forall(F.array(*names), lambda answer: to_int(answer) == 1)
+    """All of the flags are 1; null if some are unknown and none is another number.
+
+    Plain answers are settled by comparing texts. Only rows with other spellings
+    are parsed, in a loop that takes no generated code per flag.
+    """
+    flags = [F.col(n) for n in names]
+    return (
+        F.when(reduce(and_, [f == "1" for f in flags]), True)
+        .when(F.lit("0").isin(*flags), False)
+        .otherwise(F.forall(F.array(*flags), lambda answer: to_int(answer) == 1))
+    )
 
 
-def stock() -> dict[str, Column]:
-    notes = F.lower(F.coalesce(F.col("txt_notes"), F.lit("")))
+def _mentions(phrases: Sequence[str]) -> Column:
+    """One search for any of the phrases; the notes are lowercased once for it."""
+    return F.lower("txt_notes").rlike("|".join(rf"\Q{p}\E" for p in phrases))
 
-    def mentions(phrases: Sequence[str]) -> Column:
-        return F.exists(F.array(*[F.lit(p) for p in phrases]), lambda phrase: F.contains(notes, phrase))
 
-    told = F.when(mentions(fv.AL_IN_STOCK_PHRASES), 1).when(mentions(fv.AL_OUT_OF_STOCK_PHRASES), 0)
+def stock() -> dict[str, Column]:
+    told = F.when(_mentions(fv.AL_IN_STOCK_PHRASES), 1).when(_mentions(fv.AL_OUT_OF_STOCK_PHRASES), 0)
     any_act = _is_one(fv.AL_COLUMN) | _all_one(fv.ASAQ_COLUMNS)
     return {
         "supply_actal20_so_stock_clean": F.coalesce(_number(fv.AL_COLUMN), told),

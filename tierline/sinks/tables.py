@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators.joins import concat, new_columns, without_matches
-from tierline.operators.shape import quoted
+from tierline.operators.shape import flatten_dimension, quoted, to_declared
 from tierline.sinks.layers import clustered
 from tierline.workspace import new_dir, path_exists
 
@@ -198,6 +198,13 @@ class SnapshotTable:
         self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
 
+def load_dimension(
+    table: SnapshotTable, records: DataFrame, schema: T.StructType, max_length: Mapping[str, int] | None = None
+) -> None:
+    """Replaces a dimension by its records, flattened and brought to the declared schema."""
+    table.replace(to_declared(flatten_dimension(records), schema, max_length))
+
+
 MAX_LISTED_PARTITIONS = 1_000
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.operators.joins import new_columns, without_matches
 from tierline.sinks import layers
-from tierline.sinks.tables import SnapshotTable, merge_partitions
+from tierline.sinks.tables import SnapshotTable, load_dimension, merge_partitions
 from tierline.sources import files
+from tierline.sources.envelopes import dimension_records
 from tierline.suite.registry import query, table
 from tierline.workspace import new_dir
 
@@ -104,6 +106,42 @@ def schema_growth(spark, sf_dir):
     return orders.read()
 
 
+UNIT_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("displayname", T.StringType()),
+        T.StructField("level", T.IntegerType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("parent_id", T.StringType()),
+        T.StructField("parent_displayname", T.StringType()),
+    ]
+)
+
+
+@query(
+    "SNK6 SNK3 SRC12 PRJ18",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, left(c_name, 12) AS displayname, CAST(c_custkey % 5 AS INTEGER) AS level,
+    CAST(NULL AS VARCHAR) AS path, CAST(n_nationkey AS VARCHAR) AS parent_id, n_name AS parent_displayname
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+)
+def dimension_load(spark, sf_dir):
+    """Nested unit records out of their envelope, into a table of declared columns."""
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    record = F.struct(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.col("c_name").alias("displayName"),
+        (F.col("c_custkey") % 5).cast("string").alias("level"),
+        F.col("c_mktsegment").alias("unknownColumn"),
+        F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("displayName")).alias("parent"),
+    )
+    docs = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
+        F.array(record).alias("organisationUnits")
+    )
+    units = SnapshotTable(spark, new_dir(spark, "units"))
+    load_dimension(units, dimension_records(docs, "organisationUnits"), UNIT_SCHEMA, {"displayname": 12})
+    return units.read()
+
+
 @query("SNK9", "SELECT l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def clustered_write(spark, sf_dir):
     path = new_dir(spark, "lineitem-clustered")
