@@ -61,6 +61,17 @@ def test_pick_up_refuses_other_headers_unless_told(spark, tmp_path, rows):
     assert rows(got, "id", "name", "extra") == [("1", "x", None), ("2", "y", "z")]
 
 
+def test_pick_up_of_quoted_fields(spark, tmp_path, rows):
+    _write(tmp_path, "q.csv", '\ufeffid,note\n1,"say ""hi"", \\ok"\n2,"two\nlines"\n\n3, padded \n')
+    df = files.pick_up_csv(spark, str(tmp_path), encoding="utf-8-sig", multi_line=True)
+    assert rows(df, "id", "note") == [("1", 'say "hi", \\ok'), ("2", "two\nlines"), ("3", " padded ")]
+
+
+def test_lines_of_another_length(spark, tmp_path, rows):
+    _write(tmp_path, "a.csv", "a,b,c\n1,,\n2,x\n3,x,y,z\n")
+    assert rows(files.pick_up_csv(spark, str(tmp_path))) == [("1", "", ""), ("2", "x", None), ("3", "x", "y")]
+
+
 def test_pick_up_after_a_watermark(spark, tmp_path, rows):
     old = _write(tmp_path, "old.csv", "id\n1\n", age=3600)
     _write(tmp_path, "new.csv", "id\n2\n")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import codecs
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,7 @@ def pick_up_csv(
     columns: Sequence[str] | None = None,
     mixed_headers: bool = False,
     file_columns: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All CSV files below a drop folder, every value a string.
 
@@ -57,12 +58,15 @@ def pick_up_csv(
     header instead and the groups concatenated by column name, at the price of
     a first pass over the texts. ``modified_after`` (strict) leaves out what a
     former run has seen. ``file_columns`` adds ``_file`` and ``_modified``.
+    Quotes in quoted fields are doubled. Fields with line breaks need
+    ``multi_line``, and then a file is read by one task.
     """
+    dialect = {"header": True, "sep": sep, "encoding": _charset(encoding), "escape": '"', "multiLine": multi_line}
 
     def scan(path, header: Sequence[str]) -> DataFrame:
         names = list(header)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _MALFORMED]])
-        reader = _csv_reader(spark, sep, encoding, modified_after).schema(schema)
+        reader = _drop_folder_reader(spark, modified_after).options(**dialect).schema(schema)
         rows = reader.options(enforceSchema=False, columnNameOfCorruptRecord=_MALFORMED).csv(path)
         # a line of the right length has every field, so a null there was empty
         regular = F.col(_MALFORMED).isNull()
@@ -72,8 +76,8 @@ def pick_up_csv(
         )
 
     if not mixed_headers:
-        return scan(folder, columns or _csv_reader(spark, sep, encoding, None).csv(folder).columns)
-    groups = _files_by_header(spark, folder, sep, encoding, modified_after)
+        return scan(folder, columns or _drop_folder_reader(spark).options(**dialect).csv(folder).columns)
+    groups = _files_by_header(spark, folder, dialect, modified_after)
     if not groups:
         return scan(folder, columns or [])
     return concat(*[scan(paths, header) for header, paths in groups])
@@ -82,13 +86,11 @@ def pick_up_csv(
 def _charset(encoding: str) -> str:
     """Spark's name of an encoding that may be written as Python knows it."""
     name = codecs.lookup(encoding).name
-    return {"iso8859-1": "iso-8859-1", "ascii": "us-ascii"}.get(name, name)
+    return {"iso8859-1": "iso-8859-1", "ascii": "us-ascii", "utf-8-sig": "utf-8"}.get(name, name)
 
 
-def _csv_reader(spark: SparkSession, sep: str, encoding: str, modified_after: str | None):
-    reader = spark.read.options(
-        header=True, sep=sep, encoding=_charset(encoding), pathGlobFilter=CSV_SUFFIX, recursiveFileLookup=True
-    )
+def _drop_folder_reader(spark: SparkSession, modified_after: str | None = None) -> DataFrameReader:
+    reader = spark.read.options(pathGlobFilter=CSV_SUFFIX, recursiveFileLookup=True)
     return reader.option("modifiedAfter", modified_after) if modified_after else reader
 
 
@@ -101,15 +103,14 @@ def _file_columns(wanted: bool):
     ]
 
 
-def _files_by_header(spark, folder, sep, encoding, modified_after) -> list[tuple[list[str], list[str]]]:
+def _files_by_header(
+    spark: SparkSession, folder: str, dialect: Mapping[str, object], modified_after: str | None
+) -> list[tuple[list[str], list[str]]]:
     """Column names and files of each distinct header line.
 
     Brings one line per file to the driver, which lists the files anyway.
     """
-    reader = spark.read.options(pathGlobFilter=CSV_SUFFIX, recursiveFileLookup=True)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    lines = reader.text(folder).select(
+    lines = _drop_folder_reader(spark, modified_after).text(folder).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -125,7 +126,7 @@ def _files_by_header(spark, folder, sep, encoding, modified_after) -> list[tuple
         groups[row.line].append(unquote(row.path))
     result = []
     for line, paths in groups.items():
-        header = spark.read.options(header=True, sep=sep, encoding=_charset(encoding)).csv(paths[0]).columns
+        header = spark.read.options(**dialect).csv(paths[0]).columns
         result.append((header, paths))
     return result
 

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Worth setting when a session is built; the library itself sets nothing.
 SESSION_SETTINGS = {
-    # Dozens of KPI columns make one generated method that the JVM would never
-    # compile (its limit is 8000 bytes); beyond it Spark splits the code instead.
+    # The JVM never compiles a method above 8000 bytes. Where a longer one would be
+    # generated Spark splits the code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # No stack trace per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
