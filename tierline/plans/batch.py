@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators import runs, shape
 from tierline.plans import steps
 from tierline.sinks import layers
 from tierline.sources.envelopes import explode_results
+from tierline.workspace import new_dir
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,22 @@ class Run:
         return f"{root.rstrip('/')}/{layers.layer_path(self.country, self.pipeline, self.execution_id, self.ingestion_time)}"
 
 
+def staged_without_null_columns(df: DataFrame) -> DataFrame:
+    """The batch as Parquet in the shared folder, less the columns null in every row.
+
+    Values are counted by the write, so raw documents are parsed once, where a
+    count before the write would parse them a second time.
+    """
+    path = new_dir(df.sparkSession, "staged")
+    filled = Observation("filled values")
+    counts = [F.count(F.col(shape.quoted(c))).alias(f"filled_{n}") for n, c in enumerate(df.columns)]
+    df.observe(filled, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    if not filled.get.get("rows"):
+        return staged
+    return staged.drop(*[F.col(shape.quoted(c)) for n, c in enumerate(df.columns) if filled.get[f"filled_{n}"] == 0])
+
+
 def processed(
     raw: DataFrame,
     run: Run,
@@ -36,7 +54,7 @@ def processed(
     """Raw records to flat, clean columns, in the order the steps depend on."""
     df = shape.trim_strings(shape.tidy_names(shape.flatten(explode_results(raw))))
     if drop_nulls:
-        df = shape.drop_null_columns(df)
+        df = staged_without_null_columns(df)
     if dedup_key:
         df = shape.dedup(df, dedup_key)
     df = shape.processed_lineage(

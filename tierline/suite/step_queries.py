@@ -140,3 +140,22 @@ def survey_end_to_end(spark, sf_dir):
 
     curated = batch.curated(rules.curate(files.read_parquet(spark, path), inputs.RULES), run)
     return reports.calendar_month_report(curated)
+
+
+@query(
+    "PRJ1 PRJ3 PRJ4 PRJ5 PRJ6 PRJ9 SRC8",
+    """SELECT event_id, event_type AS who_kind, user_id AS who_user_id, value, upper(event_type) AS label,
+    'run-2' AS _pipeline_execution_id, '2024-06-15T10:30:00' AS _ingestion_timestamp, 'events' AS _pipeline_name,
+    'global' AS _country, '2024-06-15T10:30:00' AS _processed_at FROM events""",
+)
+def cleaned_batch(spark, sf_dir):
+    """All cleaning steps on response documents; one of their fields is never filled."""
+    record = F.struct(
+        "event_id",
+        F.struct(F.concat(F.lit(" "), "event_type").alias("kind"), F.col("user_id").alias("user-id")).alias("who"),
+        F.lit(None).cast("string").alias("never"),
+        F.col("value").alias("VALUE"),
+    )
+    docs = table(spark, sf_dir, "events").select(F.array(record, record).alias("results"))
+    run = batch.Run("events", "run-2", "2024-06-15T10:30:00")
+    return batch.processed(docs, run, "event_id", "SELECT *, UPPER(who_kind) AS label FROM source_data")
