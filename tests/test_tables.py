@@ -60,6 +60,23 @@ def test_merging_twice_changes_nothing(spark, rows, tmp_path):
     assert rows(table.read()) == once
 
 
+def test_a_merge_leaves_folders_without_arriving_keys(spark, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.range(0, 5).withColumn("v", F.lit("a")))
+    table.append(spark.range(5, 10).withColumn("v", F.lit("b")))
+    table.append(spark.sql("SELECT CAST(NULL AS LONG) AS id, 'n' AS v"))
+    first, second, third = table._current().folders
+    table.merge(spark.range(7, 12).withColumn("v", F.lit("c")), ["id"])
+    folders = table._current().folders
+    assert folders[:2] == [first, third] and second not in folders and len(folders) == 3
+    table.merge(spark.sql("SELECT CAST(NULL AS LONG) AS id, 'm' AS v, 1 AS extra"), ["id"])
+    assert table._current().folders[:3] == folders, "new keys are appended"
+    expected = [(n, "a" if n < 5 else "b" if n < 7 else "c", None) for n in range(12)] + [(None, "n", None), (None, "m", 1)]
+    assert rows(table.read()) == sorted(expected, key=repr)
+    table.replace(table.read())
+    assert len(table._current().folders) == 1 and rows(table.read()) == sorted(expected, key=repr)
+
+
 def test_a_second_writer_is_noticed(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.append(spark.range(1))

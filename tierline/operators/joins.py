@@ -54,11 +54,19 @@ def without_matches(target: DataFrame, staging: DataFrame, keys: Sequence[str])
 
     A key with a null part equals nothing, so such rows stay.
     """
+    return target.join(*_arriving(staging, keys), "left_anti")
+
+
+def with_matches(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The other rows: those whose composite key occurs in staging."""
+    return target.join(*_arriving(staging, keys), "left_semi")
+
+
+def _arriving(staging: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Distinct keys of staging, and when a target row has one of them."""
     arriving = staging.select(*[F.col(quoted(k)).alias(f"_arriving_{k}") for k in keys]).distinct()
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(quoted(k)) == F.col(quoted(f"_arriving_{k}")) for k in keys]
-    )
-    return target.join(arriving, same_key, "left_anti")
+    same_key = [F.col(quoted(k)) == F.col(quoted(f"_arriving_{k}")) for k in keys]
+    return arriving, reduce(lambda a, b: a & b, same_key)
 
 
 def new_columns(incoming: T.StructType, existing: T.StructType) -> list[T.StructField]:

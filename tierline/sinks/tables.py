@@ -5,7 +5,8 @@ Two layouts, by how a table is loaded:
 * ``SnapshotTable``: every commit names the data folders the table now consists
   of. A load writes a new folder and then one commit row, so readers see the
   old or the new state and nothing is overwritten while it is read. An append
-  adds a folder and leaves the others alone.
+  adds a folder, and a merge rewrites only those folders that hold a key which
+  arrives; the others stay as they are. A replace by its own rows compacts.
 * ``merge_partitions``: a fact table partitioned by a part of its key, such as
   the period. A merge rewrites only the partitions the batch has rows for.
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.operators.joins import concat, new_columns, without_matches
+from tierline.operators.joins import concat, new_columns, with_matches, without_matches
 from tierline.operators.shape import flatten_dimension, quoted, to_declared
 from tierline.sinks.layers import clustered
 from tierline.workspace import new_dir, path_exists
@@ -133,11 +134,12 @@ class SnapshotTable:
             raise ValueError(f"no table at {self.path}")
         return self._read(current)
 
-    def _read(self, current) -> DataFrame:
+    def _read(self, current, folders: Sequence[str] | None = None) -> DataFrame:
         schema = _schema_of(current)
-        if not current.folders:
+        chosen = current.folders if folders is None else folders
+        if not chosen:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in current.folders])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in chosen])
 
     def has_commit(self, tag: str) -> bool:
         commits = self._commits()
@@ -158,6 +160,11 @@ class SnapshotTable:
         self._commit(current, [*before, self._write(aligned(df, schema))], schema, tag)
 
     def merge(self, df: DataFrame, keys: Sequence[str], tag: str | None = None) -> None:
+        """See ``merged``. Rewrites the folders that hold an arriving key.
+
+        Finding them reads the key columns only. A batch of new keys is an
+        append. Staging is read three times, so pass a written batch.
+        """
         current = self._current()
         if not keys:
             raise ValueError("a merge needs key columns")
@@ -165,8 +172,19 @@ class SnapshotTable:
             self.append(df, tag)
             return
         schema = self._schema_for(df, current)
-        rows = merged(self._read(current), aligned(df, schema), keys)
-        self._commit(current, [self._write(rows)], schema, tag)
+        staging = aligned(df, schema)
+        touched = self._folders_with(current, staging, keys)
+        others = [f for f in current.folders if f not in touched]
+        rows = merged(self._read(current, touched), staging, keys) if touched else staging
+        self._commit(current, [*others, self._write(rows)], schema, tag)
+
+    def _folders_with(self, current, staging: DataFrame, keys: Sequence[str]) -> list[str]:
+        if not current.folders:
+            return []
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(data/[0-9a-f]{32})/", 1)
+        present = self._read(current).select(*[F.col(quoted(k)) for k in keys], folder.alias("_folder"))
+        # a few names, one per load since the last replace
+        return [r[0] for r in with_matches(present, staging, keys).select("_folder").distinct().collect()]
 
     def load(self, df: DataFrame, mode: str = "replace", keys: Sequence[str] = (), tag: str | None = None) -> None:
         if mode == "replace":
