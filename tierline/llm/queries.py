@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import pii, secrets
+from tierline.llm import pieces, pii, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def piece_model() -> str:
+    """The public byte-pair model of 32,000 pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pii.digest(pii.detect(documents, pii.fit(documents)))
@@ -20,9 +27,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.detect(table(spark, sf_dir, "documents")))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op7_secrets": op7_secrets,
+    "op8_pieces": op8_pieces,
 }
 
 ORACLES: dict[str, str] = {}
