@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import pieces, pii, secrets
+from tierline.llm import line_quality, pieces, pii, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,15 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op7_secrets": op7_secrets,
     "op8_pieces": op8_pieces,
+    "op10_line_quality": op10_line_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_line_quality": line_quality.ORACLE_SQL}
