@@ -8,14 +8,22 @@ import pyarrow as pa
 from tierline.llm import line_quality
 
 BLOCK = "one two three four five six seven eight nine ten\n" * 6
-OWN = " ".join(f"word{i}" for i in range(60))
+
+
+
+def own(seed):
+    letters = "abcdefghijklmnop"
+    return " ".join("".join(letters[(seed * 60 + i) // 16**k % 16] for k in range(4)) for i in range(60))
+
+
+OWN = own(999)
 SCHEMA = "doc_id long, text string, source string, hash long, lines string, row int"
 
 
 def texts():
     odd = [None, "", " \n\t ", "one", OWN, OWN, BLOCK, "a\x0bb\x0cc d\r\n# * <|> &%$\n# * <|> &%$", "x " * 20000, "é😀 ß " * 30, "w" * 50000]
     shared = "licensed under the terms 2.0 of this"
-    many = [f"{OWN} v{i}\n  Licensed   under the TERMS {i}.0 of this" for i in range(60)]
+    many = [f"{own(i)}\n  Licensed   under the TERMS {i}.0 of this" for i in range(60)]
     hollow = [f"{shared}\n" * 30 + f"tail{i} " * 3 for i in range(3)]
     return odd + many + hollow
 
@@ -61,6 +69,9 @@ def test_common_lines_deplete_hollow_documents_only(spark):
     assert rows[4].kept and rows[5].kept
     assert rows[12].kept and rows[12].n_common_words == 7
     assert not rows[6].kept and rows[6].base_failed
+    rows = {r.doc_id: r for r in line_quality.judge(frame(spark, [f"{own(500)}\n{own(i)[:30]}" for i in range(40)]), limit=20).collect()}
+    assert not rows[0].kept and not rows[0].base_failed and rows[0].n_common_words == 60
+    assert rows[8].n_common_words == 0
 
 
 def test_copies_count_once(spark):
