@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierline.llm import line_quality, pieces, pii, secrets
+from tierline.llm import language, line_quality, pieces, pii, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,18 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(documents, pii.fit(documents)))
 
 
+def fold(of: int) -> Column:
+    """The remainder that deals documents to learning and holding out; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    filters = language.fit(documents.filter(fold(4) != 2))
+    told = language.identify(documents.select("doc_id", "text"), filters)
+    return told.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.detect(table(spark, sf_dir, "documents")))
 
@@ -37,6 +50,7 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_language": op2_language,
     "op7_secrets": op7_secrets,
     "op8_pieces": op8_pieces,
     "op10_line_quality": op10_line_quality,
