@@ -31,6 +31,9 @@ from tierline.llm.flat import blocks, code_points, hashed, spread
 SPACE = 0x2581
 NEVER = np.int32(2**31 - 1)
 ROUNDS = 96
+# Bytes of text, and ids, that a task works on at a time.
+TEXT_BLOCK = 600_000
+ID_BLOCK = 150_000
 UNKNOWN_SURFACE = " ⁇ "
 
 
@@ -260,7 +263,7 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
-        for part, raw, starts in blocks(batches, text_col):
+        for part, raw, starts in blocks(batches, text_col, TEXT_BLOCK):
             ids, places = model.encode(raw, starts)
             column = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids_col])
@@ -276,13 +279,17 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
         for batch in batches:
-            lists = batch.column(ids_col)
-            sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            ids = np.asarray(lists.flatten(), np.int64)
-            raw, places = model.decode(ids, starts)
-            text = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(places.astype(np.int64)), pa.py_buffer(raw)).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, text_col])
+            sizes = np.asarray(batch.column(ids_col).value_lengths().fill_null(0), np.int64)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            at = 0
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(ends, ends[at] + ID_BLOCK, "right")) - 1)
+                part = batch.slice(at, end - at)
+                raw, places = model.decode(np.asarray(part.column(ids_col).flatten()), ends[at : end + 1] - ends[at])
+                buffers = [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(raw.tobytes())]
+                text = pa.Array.from_buffers(pa.large_string(), part.num_rows, buffers).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, text], [*part.schema.names, text_col])
+                at = end
 
     return base.mapInArrow(run, schema)
 
