@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import language, line_quality, pieces, pii, secrets
+from tierline.llm import language, line_quality, pieces, pii, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,15 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    learning = documents.filter(fold(5) != 0)
+    model = toxicity.fit(learning, table(spark, sf_dir, "labels").filter(fold(5) != 0))
+    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    held = F.coalesce(fold(5) == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.detect(table(spark, sf_dir, "documents")))
 
@@ -51,6 +60,7 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
+    "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_pieces": op8_pieces,
     "op10_line_quality": op10_line_quality,
