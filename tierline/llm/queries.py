@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import language, line_quality, pieces, pii, secrets, toxicity
+from tierline.llm import bagminhash, language, line_quality, pieces, pii, secrets, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,17 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document; a class is the component of links of similarity 0.8 or more over five-word shingles."""
+    told = bagminhash.classes(table(spark, sf_dir, "documents"))
+    return told.select("doc_id", "class_id", "class_size", "is_first")
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     learning = documents.filter(fold(5) != 0)
@@ -60,10 +71,15 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
+    "op3_bagminhash": op3_bagminhash,
+    "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_pieces": op8_pieces,
     "op10_line_quality": op10_line_quality,
 }
 
-ORACLES: dict[str, str] = {"op10_line_quality": line_quality.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op5_topk": topk.ORACLE_SQL,
+    "op10_line_quality": line_quality.ORACLE_SQL,
+}
