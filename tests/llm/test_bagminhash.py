@@ -91,6 +91,14 @@ def test_null_keys_repeated_rows_and_an_empty_table(spark):
     assert bagminhash.classes(df.limit(0)).collect() == []
 
 
+def test_hashes_do_not_depend_on_neighbours():
+    from tierline.llm.flat import hashed
+
+    letters = np.arange(5000)
+    near = hashed(letters, np.array([0, 10]), np.array([5, 7]))
+    assert (hashed(letters, np.array([0, 10, 20]), np.array([5, 7, 4000]))[:2] == near).all()
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     links = [(i + 1, i) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (202, 201), (202, 200), (300, 300)]
     told = dict(map(tuple, bagminhash.stars(spark.createDataFrame(links, "a long, b long")).collect()))

@@ -39,6 +39,7 @@ def numbered(count: int, seed: int) -> np.ndarray:
 PLACES = 1024
 WEIGHT = numbered(PLACES, 1)
 FAR_WEIGHT = numbered(PLACES, 2)
+FAR_WEIGHT[0] = 1
 
 
 def utf8(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
