@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bagminhash, language, line_quality, pieces, pii, secrets, topk, toxicity
+from tierline.llm import bagminhash, language, line_quality, pieces, pii, secrets, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,13 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through an archive: written, found by its address, read by range."""
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write(pages)
+    return warc.records(warc.lookup(pages, archive), archive).drop("url", "payload")
+
+
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents"))
 
@@ -76,10 +83,12 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_pieces": op8_pieces,
+    "op9_warc": op9_warc,
     "op10_line_quality": op10_line_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op5_topk": topk.ORACLE_SQL,
+    "op9_warc": warc.ORACLE_SQL,
     "op10_line_quality": line_quality.ORACLE_SQL,
 }
