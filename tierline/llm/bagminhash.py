@@ -40,9 +40,9 @@ SIMILARITY = 0.8
 BANDS = 25
 ROWS = 5
 # Members of buckets that are not of one class get this many registers more to be told
-# apart by, four bits each.
-WIDE = 512
-PLANES = 4
+# apart by, two bits each.
+WIDE = 1024
+PLANES = 2
 
 _OF_WORD = numbered(WORDS, 3)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -136,7 +136,7 @@ def banded(registers: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def briefed(registers: np.ndarray) -> np.ndarray:
-    """Four bits of each register, as four bit planes of a long for every 64 registers."""
+    """The low bits of each register, as bit planes of a long for every 64 registers."""
     texts, m = registers.shape
     bits = mixed(registers.view(np.uint64)).reshape(texts, m // 64, 1, 64) >> np.arange(PLANES, dtype=np.uint64)[:, None]
     planes = (bits & np.uint64(1)) << np.arange(64, dtype=np.uint64)
@@ -232,7 +232,7 @@ def _could_be(similarity: float, registers: int) -> Column:
     """
     sizes = F.least("one_total", "other_total") >= similarity * F.greatest("one_total", "other_total")
     apart = F.lit(0)
-    for group in range(0, registers // 16, PLANES):
+    for group in range(0, registers * PLANES // 64, PLANES):
         differ = [F.col(f"one_{i}").bitwiseXOR(F.col(f"other_{i}")) for i in range(group, group + PLANES)]
         apart = apart + F.bit_count(reduce(Column.bitwiseOR, differ))
     agree = similarity + (1 - similarity) / 2**PLANES
@@ -257,14 +257,19 @@ def _links(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     led_by = leader.join(roots.withColumnRenamed("node", "leader"), "leader", "left").select("bucket", F.coalesce("root", "leader").alias("of"))
     mixed_ = own.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
     open_ = checkpointed(own.join(mixed_.join(led_by, "bucket"), "bucket"))
-    texts = rows.select(F.col("row").alias("node"), "text").join(open_.select("node").distinct(), "node", "left_semi")
-    brief = with_signature(texts, "text", "brief", WIDE, briefed).select("node", "total", "brief")
+    texts = rows.select(F.col("row").alias("node"), "text", "bands").join(open_.select("node").distinct(), "node", "left_semi")
+    brief = with_signature(texts, "text", "brief", WIDE, briefed)
     planes = [F.get("brief", F.lit(i)).alias(str(i)) for i in range(WIDE * PLANES // 64)]
-    open_ = checkpointed(open_.join(brief, "node").select("bucket", "node", "root", "of", "total", *planes))
+    brief = brief.select("node", "total", "bands", *planes)
+    # A pair that meets in several buckets is tested in the first of them.
+    earlier = F.slice("bands", 1, F.array_position("bands", F.col("bucket")).cast("int") - 1).alias("earlier")
+    open_ = checkpointed(open_.join(brief, "node").select("bucket", "node", "root", "of", "total", earlier, *map(str, range(len(planes)))))
     one = open_.filter("root <> of").select([F.col(f"`{c}`").alias(f"one_{c}") for c in open_.columns])
     other = open_.select([F.col(f"`{c}`").alias(f"other_{c}") for c in open_.columns])
     across = (F.col("one_bucket") == F.col("other_bucket")) & (F.col("one_root") != F.col("other_root"))
-    met = one.join(other, across & _could_be(similarity, WIDE))
+    once = (F.col("other_root") == F.col("other_of")) | (F.col("one_node") > F.col("other_node"))
+    first_met = ~F.arrays_overlap("one_earlier", "other_earlier")
+    met = one.join(other, across & once & _could_be(similarity, WIDE) & first_met)
     met = checkpointed(_pairs(met, "one_node", "other_node"))
     more = _compared(met.join(first, ["a", "b"], "left_anti"), rows, similarity)
     return roots if more.isEmpty() else stars(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
