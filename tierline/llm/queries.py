@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bagminhash, language, line_quality, pieces, pii, secrets, topk, toxicity, warc
+from tierline.llm import bagminhash, language, line_quality, mixing, pieces, pii, secrets, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,19 @@ def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "class_id", "class_size", "is_first")
 
 
+# Shares of tokens: mostly good and clean text, some of the rest for contrast.
+TARGETS = {"q1t0": 0.80, "q0t0": 0.12, "q1t1": 0.06, "q0t1": 0.02}
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domain = F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string"))
+    return table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(table(spark, sf_dir, "documents"), labelled(spark, sf_dir), TARGETS)
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
     return found.withColumnRenamed("id", "vec_id")
@@ -79,6 +92,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
     "op3_bagminhash": op3_bagminhash,
+    "op4_mixing": op4_mixing,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
