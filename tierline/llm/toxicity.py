@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 
 from tierline.llm.flat import blocks, code_points, hashed
 from tierline.llm.language import folded
+from tierline.workspace import new_dir
 
-# The expected sizes of the samples that fitting collects.
+# The expected sizes of the samples that fitting reads.
 POSITIVES = 6_000
 UNLABELLED = 24_000
 # A word is a feature if at least this share of the positives, and this many, have it.
@@ -77,8 +78,8 @@ def present(raw: np.ndarray, starts: np.ndarray, known: np.ndarray | None = None
     return words[fresh], text[fresh]
 
 
-def _features(df: DataFrame, known: np.ndarray | None) -> list[np.ndarray]:
-    """Distinct words of each document of a sample, on the driver."""
+def _words(df: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """``words``: the distinct words of each text, or their places among known ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, starts in blocks(batches, "text"):
@@ -86,11 +87,25 @@ def _features(df: DataFrame, known: np.ndarray | None) -> list[np.ndarray]:
             places = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=part.num_rows))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(places), pa.array(words.view(np.int64)))], ["words"])
 
-    lists = df.select("text").mapInArrow(run, "words array<long>").toArrow()["words"]
-    sizes = np.asarray(lists.combine_chunks().value_lengths()) if len(lists) else np.zeros(0, np.int64)
-    flat = np.asarray(lists.combine_chunks().flatten()).view(np.uint64) if len(lists) else np.zeros(0, np.uint64)
-    # The order of rows as they arrive is not fixed; a sorted one makes training repeatable.
-    return sorted(np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else [], key=lambda x: (len(x), x.tolist()))
+    return df.select("text").mapInArrow(run, "words array<long>")
+
+
+def _counts(df: DataFrame, known: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Words (or places) that at least so many texts have, in order, and how many have them."""
+    each = _words(df, known).select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    table = each.filter(F.col("n") >= float(least)).toArrow()
+    words, n = np.asarray(table["word"]).view(np.uint64), np.asarray(table["n"])
+    order = np.argsort(words)
+    return words[order], n[order]
+
+
+def _collected(df: DataFrame, known: np.ndarray) -> list[np.ndarray]:
+    """Places of the known words of each text of a sample, on the driver."""
+    lists = _words(df, known).toArrow()["words"].combine_chunks()
+    sizes = np.asarray(lists.value_lengths(), np.int64)
+    docs = np.split(np.asarray(lists.flatten(), np.int64), np.cumsum(sizes)[:-1]) if len(sizes) else []
+    # The order in which rows arrive is not fixed; a sorted one makes training repeatable.
+    return sorted(docs, key=lambda x: (len(x), x.tobytes()))
 
 
 @dataclass(frozen=True)
@@ -122,17 +137,20 @@ def fit(df: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: str
     if not known.p:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf, 0.0)
     prior = min(0.5, known.p / known.n)
-    positive = _features(_sample(rows.join(told.filter("y = 1").select("key"), "key", "left_semi"), POSITIVES), None)
-    words, counts = np.unique(np.concatenate(positive), return_counts=True)
-    words = words[counts >= max(MIN_POSITIVES if len(positive) > 20 else 1, MIN_SHARE * len(positive))]
-    positive = [np.searchsorted(words, p[np.isin(p, words)]) for p in positive]
-    unlabelled = [u.astype(np.int64) for u in _features(_sample(rows, UNLABELLED), words)]
-    usual = np.bincount(np.concatenate([*unlabelled, np.zeros(0, np.int64)]), minlength=len(words)) / max(len(unlabelled), 1)
-    share = np.bincount(np.concatenate(positive), minlength=len(words)) / len(positive)
+    toxic = rows.join(told.filter("y = 1").select("key"), "key", "left_semi")
+    path = new_dir(df.sparkSession, "toxic")
+    for name, sample in (("p", _sample(toxic, POSITIVES)), ("u", _sample(rows, UNLABELLED))):
+        sample.select("text").write.parquet(f"{path}/{name}")
+    positive, unlabelled = (df.sparkSession.read.parquet(f"{path}/{name}") for name in ("p", "u"))
+    n_p, n_u = positive.count(), max(unlabelled.count(), 1)
+    words, n = _counts(positive, None, max(MIN_POSITIVES if n_p > 20 else 1, MIN_SHARE * n_p))
+    share, usual = n / max(n_p, 1), np.zeros(len(words))
+    place, n = _counts(unlabelled, words, 1)
+    usual[place.astype(np.int64)] = n / n_u
     # A word that only toxic documents have is 1 / prior times as common among them; half of that way is asked for.
-    marked = (share - usual > SURE * np.sqrt(usual * (1 - usual) / len(positive))) & (share * np.sqrt(prior) > usual)
-    places = np.cumsum(marked) - 1
-    positive, unlabelled, words = [places[p[marked[p]]] for p in positive], [places[u[marked[u]]] for u in unlabelled], words[marked]
+    marked = (share - usual > SURE * np.sqrt(usual * (1 - usual) / max(n_p, 1))) & (share * np.sqrt(prior) > usual)
+    words = words[marked]
+    positive, unlabelled = _collected(positive, words), _collected(unlabelled, words)
     weights, bias = trained(positive, unlabelled, len(words), prior)
     return Model(words, weights, bias, prior)
 
