@@ -58,3 +58,15 @@ def test_status_of_pipelines_without_runs(spark, rows):
 def test_newest_version(spark, rows):
     df = spark.createDataFrame([("t", 1, "x"), ("t", 3, "y"), ("u", 2, "z")], "name string, at int, schema string")
     assert rows(runs.newest_version(df, "name", "at", ["schema"])) == [("t", "y"), ("u", "z")]
+
+
+def test_a_check_whose_result_is_no_whole_number_fails(spark):
+    from tierline.operators import quality
+
+    df = spark.range(3)
+    told = lambda q, e=0: tuple(quality.custom_sql(df, q, e).select("actual", "passed").first())
+    assert told("SELECT 0.5 FROM {table}") == (None, False)
+    assert told("SELECT 'bad' FROM {table}") == (None, False)
+    assert told("SELECT avg(id) FROM {table}", 1) == (1, True)
+    assert told("SELECT 9000000000 FROM {table}", 9_000_000_000) == (9_000_000_000, True)
+    assert told("SELECT id FROM {table} WHERE false") == (0, True)

@@ -23,12 +23,20 @@ def test_flatten_keeps_nulls_and_odd_names(spark):
     assert tuple(flat.first()) == (None, None, 1)
 
 
-def test_flatten_depth_is_bounded_and_the_guard_takes_the_rest(spark):
-    df = spark.sql("SELECT named_struct('b', named_struct('c', named_struct('d', 1))) AS a")
-    assert shape.flatten(df).columns == ["a_b_c_d"]
-    shallow = shape.flatten(df, max_depth=2)
-    assert shallow.columns == ["a_b_c"]
-    assert shape.primitive_only(shallow).first()[0] == '{"d":1}'
+def test_flatten_goes_to_the_last_level(spark):
+    value = "1"
+    for level in reversed(range(14)):
+        value = f"named_struct('l{level}', {value})"
+    flat = shape.flatten(spark.sql(f"SELECT {value} AS a"))
+    assert flat.columns == ["a_" + "_".join(f"l{n}" for n in range(14))]
+    assert tuple(flat.first()) == (1,)
+
+
+def test_dedup_keeps_the_same_row_whatever_the_order(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (2, "c"), (None, "x"), (None, "y")], "k int, v string")
+    once = rows(shape.dedup(df, "k"))
+    assert len(once) == 3
+    assert all(rows(shape.dedup(df.orderBy(*order).repartition(n), "k")) == once for order, n in ((["v"], 1), ([df.v.desc()], 5)))
 
 
 def test_colliding_names_get_a_number(spark):

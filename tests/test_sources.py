@@ -69,7 +69,9 @@ def test_pick_up_of_quoted_fields(spark, tmp_path, rows):
 
 def test_lines_of_another_length(spark, tmp_path, rows):
     _write(tmp_path, "a.csv", "a,b,c\n1,,\n2,x\n3,x,y,z\n")
-    assert rows(files.pick_up_csv(spark, str(tmp_path))) == [("1", "", ""), ("2", "x", None), ("3", "x", "y")]
+    assert rows(files.pick_up_csv(spark, str(tmp_path), drop_surplus=True)) == [("1", "", ""), ("2", "x", None), ("3", "x", "y")]
+    with pytest.raises(Exception, match="more cells than the header has: 3,x,y,z"):
+        files.pick_up_csv(spark, str(tmp_path)).collect()
 
 
 def test_pick_up_after_a_watermark(spark, tmp_path, rows):
@@ -154,6 +156,39 @@ def test_run_scans(spark, tmp_path, rows):
     assert all("run-0" in f for f in below.inputFiles())
 
 
+def test_run_ids_are_strings(spark, tmp_path, rows):
+    root = str(tmp_path / "layer")
+    ids = ["007", "7", "a=b/c 1", "[x]"]
+    df = spark.createDataFrame([("z", i, n) for n, i in enumerate(ids)], "country string, execution_id string, n int")
+    df.write.partitionBy("country", "execution_id").parquet(root)
+    for n, i in enumerate(ids):
+        one = files.read_run(spark, root, i)
+        assert rows(one, "n", "execution_id") == [(n, i)]
+        assert len(one.inputFiles()) == 1
+    assert files.read_run(spark, root, "77").collect() == []
+    assert rows(files.read_below(spark, root, "country=z/execution_id=007"), "n", "execution_id", "country") == [(0, "007", "z")]
+
+
+def test_headers_in_another_encoding_and_of_new_files_only(spark, tmp_path, rows):
+    for name, text in (("a.csv", "é,b\n1,2\n"), ("b.csv", "è,b\n3,4\n")):
+        (tmp_path / name).write_bytes(text.encode("latin-1"))
+    got = files.pick_up_csv(spark, str(tmp_path), encoding="latin-1", mixed_headers=True)
+    assert rows(got.select("é", "è", "b")) == sorted([("1", None, "2"), (None, "3", "4")], key=repr)
+
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    (drop / "old.csv").write_text("x,y\n" + "1,2\n" * 500)
+    (drop / "new.csv").write_text("p,q,r\n1,2,3\n")
+    os.utime(drop / "old.csv", (1e9, 1e9))
+    got = files.pick_up_csv(spark, str(drop), modified_after="2010-01-01T00:00:00")
+    assert got.columns == ["p", "q", "r"] and rows(got) == [("1", "2", "3")]
+
+
+def test_line_breaks_in_quotes_by_default(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('k,t\n1,"two\nlines"\n2,one\n')
+    assert rows(files.pick_up_csv(spark, str(tmp_path))) == [("1", "two\nlines"), ("2", "one")]
+
+
 def test_union_of_run_schemas(spark, tmp_path, rows):
     root = str(tmp_path / "runs")
     spark.sql("SELECT 1 AS a").write.parquet(f"{root}/2024/01/01/r1")

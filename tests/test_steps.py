@@ -120,3 +120,24 @@ def test_partitioned_layer_replaces_only_its_folders(spark, tmp_path, rows):
         layers.write_partitioned(df, root, one_folder=True)
     counts = spark.read.parquet(root).groupBy("execution_id", "year", "month", "day").count()
     assert rows(counts) == [("r1", 2024, 2, 3, 1), ("r2", 2024, 2, 3, 3)]
+
+
+def test_literals_comments_and_aliases_are_left_alone(spark):
+    spark.sql("SELECT 9 AS mine").createOrReplaceTempView("processed_data")
+    df = spark.sql("SELECT 1 AS id")
+    text = "-- source_data\nSELECT id AS source_data, 'source_data' AS origin, '{x}' AS braces /* __TABLE__ */ FROM source_data"
+    got = steps.run_sql(df, text)
+    assert got.columns == ["source_data", "origin", "braces"] and tuple(got.first()) == (1, "source_data", "{x}")
+    assert tuple(spark.table("processed_data").first()) == (9,), "a view of that name comes back"
+    spark.catalog.dropTempView("processed_data")
+    assert not spark.catalog.tableExists("source_data")
+
+
+def test_statements_from_files(spark, tmp_path):
+    for name, text in (("b_two.sql", "SELECT n + 1 AS n FROM a_one;"), ("a_one.sql", "SELECT 1 AS n"), ("c.sql", "  \n"), ("d.txt", "nonsense")):
+        (tmp_path / name).write_text(text)
+    assert steps.refresh_views_from(spark, str(tmp_path)) == ["a_one", "b_two"]
+    assert spark.table("b_two").first().n == 2
+    assert steps.refresh_views_from(spark, str(tmp_path), "a*.sql") == ["a_one"]
+    done = steps.load_with_statements(lambda: None, spark, after=[str(tmp_path / "a_one.sql"), ("x", "SELECT 5 AS n FROM a_one")])
+    assert done == ["a_one", "x"]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.sinks.tables import SnapshotTable, merge_partitions
+from tierline.sinks.tables import SnapshotTable
 from tierline.streaming import files as streams
 
 
@@ -48,14 +48,14 @@ def test_a_batch_that_comes_again_is_left_out(spark, rows, tmp_path):
 def test_partitioned_upsert(spark, rows, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "facts")
     schema = "day string, id long, v string"
-    merge_partitions(spark, path, spark.createDataFrame([("01", 1, "old"), ("02", 1, "old")], schema), ["day", "id"], ["day"])
+    table = SnapshotTable(spark, path, partition_by=["day"])
+    table.merge(spark.createDataFrame([("01", 1, "old"), ("02", 1, "old")], schema), ["day", "id"])
     spark.createDataFrame([("02", 1, "new"), ("03", 5, "new")], schema).coalesce(1).write.parquet(source)
     for checkpoint in ("cp", "other-cp"):  # the second one sees the same batch again
         streams.upsert_partitions_available(
             streams.table_stream(spark, source), path, ["day", "id"], ["day"], str(tmp_path / checkpoint)
         )
-    got = spark.read.schema(schema).parquet(path)
-    assert rows(got, "day", "id", "v") == [("01", 1, "old"), ("02", 1, "new"), ("03", 5, "new")]
+    assert rows(table.read(), "day", "id", "v") == [("01", 1, "old"), ("02", 1, "new"), ("03", 5, "new")]
 
     spark.createDataFrame([("02", None, "x")], schema).coalesce(1).write.mode("append").parquet(source)
     with pytest.raises(Exception, match="null in the merge key"):

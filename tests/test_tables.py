@@ -1,5 +1,7 @@
 """Keyed loads: merge, append, replace, growing schemas, clustered files."""
 
+import os
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import types as T
 
 from tierline.operators.joins import concat, new_columns
 from tierline.sinks import layers, tables
-from tierline.sinks.tables import ConcurrentCommit, SnapshotTable, merge_partitions, merged
+from tierline.sinks.tables import ConcurrentCommit, SnapshotTable, merged, misfits
 
 
 def test_merge_semantics(spark, rows):
@@ -23,7 +25,12 @@ def test_merge_semantics(spark, rows):
 def test_merge_with_other_columns_and_types(spark, rows):
     target = spark.createDataFrame([(1, 10, "x"), (2, 20, "y")], "k int, n int, old string")
     staging = spark.createDataFrame([("2", "oops", 1.5), ("3", "30", 2.5)], "K string, n string, extra double")
-    got = merged(target, staging, ["k"])
+    with pytest.raises(Exception, match="a value of n does not fit int"):
+        merged(target, staging, ["k"]).collect()
+    assert rows(misfits(staging, target.schema)) == [("k", 0), ("n", 1)]
+    with pytest.raises(Exception, match="a value of K does not fit int"):
+        merged(target, staging.withColumn("K", F.lit("x")), ["k"], lossy=True).collect()
+    got = merged(target, staging, ["k"], lossy=True)
     assert got.schema.simpleString() == "struct<k:int,n:int,old:string,extra:double>"
     assert rows(got) == [(1, 10, "x", None), (2, None, None, 1.5), (3, 30, None, 2.5)]
 
@@ -86,32 +93,68 @@ def test_a_second_writer_is_noticed(spark, tmp_path):
         table._commit(seen, [], table.schema(), None)
 
 
-def test_merge_rewrites_only_touched_partitions(spark, rows, tmp_path):
-    path = str(tmp_path / "facts")
+def files_of(table):
+    return {f: set(os.listdir(f"{table.path}/{f}")) for f in table._current().folders}
+
+
+@pytest.mark.parametrize("layout", [{"partition_by": ["period"]}, {"bucket_by": ["period"], "buckets": 64}])
+def test_merge_rewrites_only_touched_parts(spark, rows, tmp_path, layout):
+    table = SnapshotTable(spark, str(tmp_path / "facts"), **layout)
     first = spark.createDataFrame([("01", 1, "a"), ("01", 2, "b"), ("02", 1, "c"), (None, 1, "n")], "period string, k int, v string")
-    merge_partitions(spark, path, first, ["period", "k"], ["period"])
-    untouched = set((tmp_path / "facts" / "period=01").iterdir())
-    merge_partitions(
-        spark, path, spark.createDataFrame([("02", 1, "C"), ("03", 1, "d"), (None, 1, "m")], "period string, k int, v string"),
-        ["period", "k"], ["period"],
-    )
-    got = spark.read.schema(first.schema).parquet(path)
-    assert rows(got, "period", "k", "v") == sorted(
+    table.merge(first, ["period", "k"])
+    before = files_of(table)
+    again = [("02", 1, "C"), ("03", 1, "d"), (None, 1, "m")]
+    table.merge(spark.createDataFrame(again, "period string, k int, v string"), ["period", "k"])
+    assert rows(table.read(), "period", "k", "v") == sorted(
         [("01", 1, "a"), ("01", 2, "b"), ("02", 1, "C"), ("03", 1, "d"), (None, 1, "n"), (None, 1, "m")], key=repr
     )
-    assert set((tmp_path / "facts" / "period=01").iterdir()) == untouched
+    kept = {f: n for f, n in files_of(table).items() if f in before}
+    assert len(kept) == 1 and all(before[f] == n for f, n in kept.items())
+    with pytest.raises(ValueError):
+        table.merge(first, ["k"])
     with pytest.raises(ValueError):
-        merge_partitions(spark, path, first, ["k"], ["period"])
+        SnapshotTable(spark, "x", bucket_by=["a"])
+
+
+def test_a_merge_that_dies_before_its_commit_can_be_replayed(spark, rows, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "t"), partition_by=["p"])
+    df = spark.range(6).select((F.col("id") % 3).alias("p"), "id", F.lit("old").alias("v"))
+    table.merge(df, ["p", "id"])
+    fresh = df.filter("id < 3").withColumn("v", F.lit("new"))
+
+    def dies(*args):
+        raise KeyboardInterrupt
 
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(SnapshotTable, "_commit", dies)
+        table.merge(fresh, ["p", "id"], "tag")
+    assert not table.has_commit("tag") and {v for _, v in rows(table.read(), "id", "v")} == {"old"}
+    table.merge(fresh, ["p", "id"], "tag")
+    assert table.has_commit("tag") and rows(table.read(), "id", "v") == [(n, "new" if n < 3 else "old") for n in range(6)]
 
-def test_many_partitions_take_the_other_way(spark, rows, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 2)
-    path = str(tmp_path / "facts")
-    df = spark.range(6).select((F.col("id") % 3).cast("string").alias("p"), "id", F.lit("old").alias("v"))
-    merge_partitions(spark, path, df, ["p", "id"], ["p"])
-    merge_partitions(spark, path, df.filter("id < 3").withColumn("v", F.lit("new")), ["p", "id"], ["p"])
-    got = spark.read.schema(df.schema).parquet(path)
-    assert rows(got, "id", "v") == [(n, "new" if n < 3 else "old") for n in range(6)]
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.range(5))
+    table.merge(spark.range(3, 8).select(F.udf(count, "long")("id").alias("id")), ["id"])
+    assert seen.value == 5
+
+
+def test_misfits_are_an_error_unless_asked_for(spark, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([(1, "a")], "k int, v string"))
+    large = spark.createDataFrame([(5_000_000_000, "b")], "k long, v string")
+    for load in (lambda: table.append(large), lambda: table.merge(large, ["k"], lossy=True)):
+        with pytest.raises(Exception, match="does not fit int"):
+            load()
+    table.append(large, lossy=True)
+    assert rows(table.read()) == sorted([(1, "a"), (None, "b")], key=repr)
 
 
 def test_clustered_files_cover_ranges_and_split_equal_keys(spark, tmp_path):
@@ -139,7 +182,7 @@ def test_timestamps_are_written_in_microseconds(spark, tmp_path):
 
 def test_types_of_new_tables():
     struct = T.StructType().add("s", T.ShortType()).add("d", T.DecimalType(12, 3)).add("b", T.BinaryType()).add("l", T.LongType())
-    assert tables.table_schema(struct).simpleString() == "struct<s:string,d:decimal(12,3),b:string,l:bigint>"
+    assert tables.table_schema(struct).simpleString() == "struct<s:string,d:decimal(12,3),b:binary,l:bigint>"
 
 
 def test_schema_difference():

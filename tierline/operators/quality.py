@@ -57,12 +57,15 @@ def null_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def custom_sql(df: DataFrame, query: str, expected: int = 0) -> DataFrame:
     """First cell of a query that names the table as ``{table}``.
 
-    No row, or a null, counts as 0.
+    No row, or a null, counts as 0. What is no whole number fails, with no
+    actual value.
     """
     found = df.sparkSession.sql(query, table=df)
-    first = F.col(quoted(found.columns[0])).try_cast("long")
-    actual = F.coalesce(F.first(first), F.lit(0).cast("long"))
-    verdict = _result("custom_sql", F.lit(query), actual, F.lit(expected), actual == expected)
+    cell = F.first(F.struct(F.col(quoted(found.columns[0])).cast("string").alias("text")))["text"]
+    number = cell.try_cast("decimal(38,10)")
+    whole = F.when(number == F.floor(number), number.try_cast("long"))
+    actual = F.when(cell.isNull(), F.lit(0).cast("long")).otherwise(whole)
+    verdict = _result("custom_sql", F.lit(query), actual, F.lit(expected), F.coalesce(actual == expected, F.lit(False)))
     return found.limit(1).agg(F.array(verdict).alias("r")).select(F.inline("r"))
 
 

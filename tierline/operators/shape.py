@@ -36,16 +36,15 @@ def _as_text(column: Column, dtype: T.DataType) -> Column:
     return F.to_json(column) if isinstance(dtype, COMPLEX) else column
 
 
-def flatten(df: DataFrame, max_depth: int = 10) -> DataFrame:
+def flatten(df: DataFrame) -> DataFrame:
     """Struct leaves as columns named by their path, arrays and maps as JSON text.
 
     Leaves of a struct follow the columns that were already there, level by
-    level. Only the schema is walked here; the data sees a single projection.
+    level, to the last. Only the schema is walked here; the data sees a single
+    projection.
     """
     level = [((f.name,), f.dataType) for f in df.schema]
-    for _ in range(max_depth):
-        if not any(isinstance(t, T.StructType) for _, t in level):
-            break
+    while any(isinstance(t, T.StructType) for _, t in level):
         plain = [item for item in level if not isinstance(item[1], T.StructType)]
         opened = [
             (path + (child.name,), child.dataType)
@@ -57,7 +56,7 @@ def flatten(df: DataFrame, max_depth: int = 10) -> DataFrame:
     names = unique_names("_".join(path) for path, _ in level)
     return df.select(
         *[
-            (F.col(quoted(*path)) if isinstance(dtype, T.StructType) else _as_text(F.col(quoted(*path)), dtype)).alias(name)
+            _as_text(F.col(quoted(*path)), dtype).alias(name)
             for (path, dtype), name in zip(level, names)
         ]
     )
@@ -121,16 +120,16 @@ def dedup(df: DataFrame, key: str | Sequence[str], latest_by: Sequence[Column] =
 
     ``latest_by`` says which row stays (first in that order). Spark drops the
     losers of every map task before the shuffle (window group limit), so a key
-    with very many rows sends only one row per task. Without an order any row
-    may stay, as with ``dropDuplicates``.
+    with very many rows sends only one row per task. Rows that are equal in that
+    order, or all without one, are ordered by the text of the whole row, so the
+    same row stays when a task runs again.
     """
     keys = [key] if isinstance(key, str) else list(key)
     present = {c.lower() for c in df.columns}
     if not all(k.lower() in present for k in keys):
         return df
-    if not latest_by:
-        return df.dropDuplicates(keys)
-    return keep_first(df, keys, latest_by, 1)
+    whole = F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]))
+    return keep_first(df, keys, [*latest_by, F.xxhash64(whole), whole], 1)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:

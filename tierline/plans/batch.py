@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators import runs, shape
@@ -50,13 +51,17 @@ def processed(
     dedup_key: str | None = None,
     cleaning_sql: str | None = None,
     drop_nulls: bool = True,
+    latest_by: Sequence[Column] = (),
 ) -> DataFrame:
-    """Raw records to flat, clean columns, in the order the steps depend on."""
+    """Raw records to flat, clean columns, in the order the steps depend on.
+
+    ``latest_by`` orders the rows of a key over the flat, tidy columns; the first stays.
+    """
     df = shape.trim_strings(shape.tidy_names(shape.flatten(explode_results(raw))))
     if drop_nulls:
         df = staged_without_null_columns(df)
     if dedup_key:
-        df = shape.dedup(df, dedup_key)
+        df = shape.dedup(df, dedup_key, latest_by)
     df = shape.processed_lineage(
         df, run.execution_id, run.ingestion_time, run.pipeline, run.country, run.now or run.ingestion_time
     )

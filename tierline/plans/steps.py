@@ -1,12 +1,13 @@
 """SQL texts over named DataFrames.
 
-Names are passed with the statement, not registered on the session, so two
-runs in one session do not see each other's steps.
+Names are only registered while a statement is analysed, so two runs in one
+session do not see each other's steps.
 """
 
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,13 +21,30 @@ STEP_MARKER = "-- transform_"
 
 _MARKED = re.compile(r"^[ \t]*-- (transform_[^\n]*)$", re.MULTILINE)
 _NOT_SQL = re.compile(r"^[ \t]*(--[^\n]*)?(\n|$)", re.MULTILINE)
-_AS_NAME = re.compile(r"\b(" + "|".join((CLEANING_SOURCE, CURATING_SOURCE)) + r")\b|" + STEP_SOURCE)
+INPUT_NAMES = (CLEANING_SOURCE, CURATING_SOURCE, STEP_SOURCE)
+
+_naming = threading.Lock()
 
 
 def run_sql(df: DataFrame, text: str) -> DataFrame:
-    """One statement over ``df`` under any of the agreed input names."""
-    query = _AS_NAME.sub("{batch}", text.strip().rstrip(";").replace("{", "{{").replace("}", "}}"))
-    return df.sparkSession.sql(query, batch=df)
+    """One statement over ``df`` under any of the agreed input names.
+
+    The names are views only while the statement is analysed, which happens at
+    once, so literals, comments and aliases of the same name stay as they are
+    and other runs of the session do not see this batch.
+    """
+    spark = df.sparkSession
+    with _naming:
+        before = {n: spark.table(n) for n in INPUT_NAMES if spark.catalog.tableExists(n)}
+        for name in INPUT_NAMES:
+            df.createOrReplaceTempView(name)
+        try:
+            return spark.sql(text.strip().rstrip(";"))
+        finally:
+            for name in INPUT_NAMES:
+                spark.catalog.dropTempView(name)
+                if name in before:
+                    before[name].createOrReplaceTempView(name)
 
 
 def split_steps(text: str) -> list[tuple[str, str]]:
@@ -87,17 +105,34 @@ def refresh_views(
     return done
 
 
+def read_statements(spark: SparkSession, path: str, pattern: str = "*.sql") -> list[tuple[str, str]]:
+    """(name, text) of the SQL files of a folder, or of one file, in name order; empty ones are left out."""
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+    named = files.select(F.regexp_extract("_metadata.file_name", r"^(.*?)(?:\.[^.]*)?$", 1).alias("name"), F.trim("value").alias("text"))
+    # a folder of statements, never data
+    return [(r.name, r.text) for r in named.filter("text <> ''").orderBy("name").collect()]
+
+
+def refresh_views_from(spark: SparkSession, path: str, pattern: str = "*.sql") -> list[str]:
+    """(Re)creates a view for every SQL file of a folder, named like the file, in name order."""
+    return refresh_views(spark, dict(read_statements(spark, path, pattern)))
+
+
 def load_with_statements(
     load: Callable[[], None],
     spark: SparkSession,
-    before: Sequence[tuple[str, str]] = (),
-    after: Sequence[tuple[str, str]] = (),
+    before: Sequence[tuple[str, str] | str] = (),
+    after: Sequence[tuple[str, str] | str] = (),
 ) -> list[str]:
-    """A load between two lists of (view name, query), each run in its order."""
-    done = []
-    for name, query in before:
-        done += refresh_views(spark, {name: query})
+    """A load between two lists of (view name, query) or paths of SQL files, each run in its order."""
+
+    def run(items: Sequence[tuple[str, str] | str]) -> list[str]:
+        done = []
+        for item in items:
+            for name, query in read_statements(spark, item) if isinstance(item, str) else [item]:
+                done += refresh_views(spark, {name: query})
+        return done
+
+    first = run(before)
     load()
-    for name, query in after:
-        done += refresh_views(spark, {name: query})
-    return done
+    return first + run(after)

@@ -1,16 +1,15 @@
 """Keyed warehouse tables on plain Parquet.
 
-Two layouts, by how a table is loaded:
-
-* ``SnapshotTable``: every commit names the data folders the table now consists
-  of. A load writes a new folder and then one commit row, so readers see the
-  old or the new state and nothing is overwritten while it is read. An append
-  adds a folder, and a merge rewrites only those folders that hold a key which
-  arrives; the others stay as they are. A replace by its own rows compacts.
-* ``merge_partitions``: a fact table partitioned by a part of its key, such as
-  the period. A merge rewrites only the partitions the batch has rows for.
-
-One writer per table is assumed. With a table format on the cluster the same
+Every commit names the data folders the table now consists of. A load writes new
+folders and then one commit file, which is created only if that version does not
+exist yet, so readers see the old or the new state, nothing is overwritten, and a
+load that dies before its commit leaves the table as it was.
+
+A load may be dealt to parts: by the values of columns that are in every key
+(``partition_by``, such as the period), or by a hash of the merge key
+(``bucket_by``). A merge then reads and rewrites only the parts its batch has
+rows for; without parts it rewrites the folders that hold an arriving key. A
+replace by its own rows compacts. With a table format on the cluster the same
 loads are ``MERGE INTO`` and ``INSERT`` statements.
 """
 
@@ -19,8 +18,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +27,9 @@ from pyspark.sql import types as T
 from tierline.operators.joins import concat, new_columns, with_matches, without_matches
 from tierline.operators.shape import flatten_dimension, quoted, to_declared
 from tierline.sinks.layers import clustered
-from tierline.workspace import new_dir, path_exists
+from tierline.workspace import new_dir
 
+PART = "_part"
 COMMIT_SCHEMA = "version long, tag string, folders array<string>, table_schema string"
 
 
@@ -42,21 +42,45 @@ def grown_schema(existing: T.StructType, incoming: T.StructType) -> T.StructType
     return T.StructType([*existing, *[T.StructField(f.name, f.dataType) for f in new_columns(incoming, existing)]])
 
 
-def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The frame by name in the table's order and types; null where it has nothing."""
+def aligned(df: DataFrame, schema: T.StructType, lossy: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """The frame by name in the table's order and types; null where it has no such column.
+
+    A value that does not fit the table's type is an error. With ``lossy`` it
+    becomes null instead (``misfits`` counts these), but never in a key.
+    """
     present = {f.name.lower(): f for f in df.schema}
+    strict = {k.lower() for k in keys}
 
     def column(field: T.StructField) -> Column:
         own = present.get(field.name.lower())
         if own is None:
             return F.lit(None).cast(field.dataType)
         value = F.col(quoted(own.name))
-        return value if own.dataType == field.dataType else value.try_cast(field.dataType)
+        if own.dataType == field.dataType:
+            return value
+        fitted = value.try_cast(field.dataType)
+        if lossy and field.name.lower() not in strict:
+            return fitted
+        message = F.lit(f"a value of {own.name} does not fit {field.dataType.simpleString()}")
+        return F.when(value.isNotNull() & fitted.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(fitted)
 
     return df.select(*[column(f).alias(f.name) for f in schema])
 
 
-def merged(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(column, lost): values of each column that a lossy load would null, from one pass."""
+    present = {f.name.lower(): f for f in df.schema}
+    counts = []
+    for field in schema:
+        own = present.get(field.name.lower())
+        if own is not None:
+            value = F.col(quoted(own.name))
+            lost = F.count_if(value.isNotNull() & value.try_cast(field.dataType).isNull())
+            counts.append(F.struct(F.lit(field.name).alias("column"), lost.alias("lost")))
+    return df.agg(F.array(*counts).alias("r")).select(F.inline("r"))
+
+
+def merged(target: DataFrame, staging: DataFrame, keys: Sequence[str], lossy: bool = False) -> DataFrame:
     """Target rows whose key does not arrive, and all staging rows.
 
     Duplicates within staging stay. Rows with a null in the key match nothing:
@@ -65,14 +89,15 @@ def merged(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFr
     if not keys:
         raise ValueError("a merge needs key columns")
     schema = grown_schema(target.schema, staging.schema)
-    kept = without_matches(aligned(target, schema), staging, keys)
-    return concat(kept, aligned(staging, schema))
+    batch = aligned(staging, schema, lossy, keys)
+    return concat(without_matches(aligned(target, schema), batch, keys), batch)
 
 
 def table_type(dtype: T.DataType) -> T.DataType:
     """Type a warehouse column gets for a column of this type."""
     as_is = (
         T.StringType,
+        T.BinaryType,
         T.IntegerType,
         T.LongType,
         T.DoubleType,
@@ -98,24 +123,44 @@ def _schema_of(commit) -> T.StructType:
 
 
 class SnapshotTable:
-    """A table at a path; see the module text for the layout."""
+    """A table at a path; see the module text for the layout.
 
-    def __init__(self, spark: SparkSession, path: str, sort_keys: Sequence[str] = ()):
+    ``partition_by`` or ``bucket_by`` with ``buckets`` must be the same for every
+    writer of a table. Keys of one bucketed table are merged by ``bucket_by``.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        sort_keys: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
+        bucket_by: Sequence[str] = (),
+        buckets: int = 0,
+    ):
+        if partition_by and bucket_by or bool(bucket_by) != bool(buckets):
+            raise ValueError("a table has partitions, or buckets and their number, or neither")
         self.spark = spark
         self.path = path.rstrip("/")
         self.sort_keys = tuple(sort_keys)
+        self.part_columns = tuple(partition_by or bucket_by)
+        self.buckets = buckets
 
     # -- reading
 
-    def _commits(self) -> DataFrame | None:
-        path = f"{self.path}/commits"
-        return self.spark.read.schema(COMMIT_SCHEMA).json(path) if path_exists(self.spark, path) else None
+    def _log(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def _current(self):
-        commits = self._commits()
-        if commits is None:
-            return None
-        return commits.agg(F.max_by(F.struct("version", "folders", "table_schema"), "version").alias("c")).first().c
+        """The last commit; one file is read, whatever the number of commits."""
+        files, path = self._log()
+        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        for name in sorted((n for n in names if n.endswith(".json")), reverse=True):
+            found = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits/{name}").filter("version is not null").first()
+            if found is not None:
+                return found
+        return None
 
     def exists(self) -> bool:
         return self._current() is not None
@@ -142,57 +187,68 @@ class SnapshotTable:
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in chosen])
 
     def has_commit(self, tag: str) -> bool:
-        commits = self._commits()
-        return commits is not None and not commits.filter(F.col("tag") == tag).isEmpty()
+        files, path = self._log()
+        if not files.exists(path):
+            return False
+        return not self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits").filter(F.col("tag") == tag).isEmpty()
 
     # -- writing
 
-    def replace(self, df: DataFrame, tag: str | None = None) -> None:
+    def replace(self, df: DataFrame, tag: str | None = None, lossy: bool = False) -> None:
         """The table holds exactly these rows; columns it had before remain."""
         current = self._current()
         schema = self._schema_for(df, current)
-        self._commit(current, [self._write(aligned(df, schema))], schema, tag)
+        self._commit(current, self._write(aligned(df, schema, lossy)), schema, tag)
 
-    def append(self, df: DataFrame, tag: str | None = None) -> None:
+    def append(self, df: DataFrame, tag: str | None = None, lossy: bool = False) -> None:
         current = self._current()
         schema = self._schema_for(df, current)
         before = list(current.folders) if current else []
-        self._commit(current, [*before, self._write(aligned(df, schema))], schema, tag)
+        self._commit(current, [*before, *self._write(aligned(df, schema, lossy))], schema, tag)
 
-    def merge(self, df: DataFrame, keys: Sequence[str], tag: str | None = None) -> None:
-        """See ``merged``. Rewrites the folders that hold an arriving key.
+    def merge(self, df: DataFrame, keys: Sequence[str], tag: str | None = None, lossy: bool = False) -> None:
+        """See ``merged``. The batch is staged once, in the table's types, so what it is computed from is read once.
 
-        Finding them reads the key columns only. A batch of new keys is an
-        append. Staging is read three times, so pass a written batch.
+        A partitioned or bucketed table rewrites the parts the batch has rows
+        for; the other table the folders that hold an arriving key, which a scan
+        of the key columns finds. A batch of new keys is an append there.
         """
         current = self._current()
         if not keys:
             raise ValueError("a merge needs key columns")
-        if current is None:
-            self.append(df, tag)
-            return
+        if self.part_columns and not {c.lower() for c in self.part_columns} <= {k.lower() for k in keys}:
+            raise ValueError("the columns of partitions or buckets must be part of the merge key")
         schema = self._schema_for(df, current)
-        staging = aligned(df, schema)
-        touched = self._folders_with(current, staging, keys)
-        others = [f for f in current.folders if f not in touched]
+        path = new_dir(self.spark, "staging")
+        aligned(df, schema, lossy, keys).write.parquet(path)
+        staging = self.spark.read.schema(schema).parquet(path)
+        folders = list(current.folders) if current else []
+        touched = self._touched(current, folders, staging, keys) if folders else []
+        others = [f for f in folders if f not in touched]
         rows = merged(self._read(current, touched), staging, keys) if touched else staging
-        self._commit(current, [*others, self._write(rows)], schema, tag)
+        self._commit(current, [*others, *self._write(rows)], schema, tag)
 
-    def _folders_with(self, current, staging: DataFrame, keys: Sequence[str]) -> list[str]:
-        if not current.folders:
-            return []
+    def _part(self) -> Column:
+        """The part of a row: a hash, so that any value, null too, is a folder name."""
+        own = F.xxhash64(*[F.col(quoted(c)) for c in self.part_columns])
+        return F.pmod(own, F.lit(self.buckets)) if self.buckets else own
+
+    def _touched(self, current, folders: list[str], staging: DataFrame, keys: Sequence[str]) -> list[str]:
+        if self.part_columns:
+            parts = {str(r[0]) for r in staging.select(self._part()).distinct().collect()}  # one name per part, never rows
+            return [f for f in folders if f.rpartition(f"{PART}=")[2] in parts]
         folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(data/[0-9a-f]{32})/", 1)
         present = self._read(current).select(*[F.col(quoted(k)) for k in keys], folder.alias("_folder"))
         # a few names, one per load since the last replace
         return [r[0] for r in with_matches(present, staging, keys).select("_folder").distinct().collect()]
 
-    def load(self, df: DataFrame, mode: str = "replace", keys: Sequence[str] = (), tag: str | None = None) -> None:
+    def load(self, df: DataFrame, mode: str = "replace", keys: Sequence[str] = (), tag: str | None = None, lossy: bool = False) -> None:
         if mode == "replace":
-            self.replace(df, tag)
+            self.replace(df, tag, lossy)
         elif mode == "append":
-            self.append(df, tag)
+            self.append(df, tag, lossy)
         elif mode == "merge":
-            self.merge(df, keys, tag)
+            self.merge(df, keys, tag, lossy)
         else:
             raise ValueError(f"unknown load mode: {mode}")
 
@@ -202,18 +258,37 @@ class SnapshotTable:
             return incoming
         return grown_schema(_schema_of(current), incoming)
 
-    def _write(self, df: DataFrame) -> str:
+    def _write(self, df: DataFrame) -> list[str]:
+        """Writes the rows to a new folder; returns it, or the folders of its parts."""
         folder = f"data/{uuid.uuid4().hex}"
-        rows = clustered(df, self.sort_keys) if self.sort_keys else df
-        rows.write.option("compression", "snappy").parquet(f"{self.path}/{folder}")
-        return folder
+        if not self.part_columns:
+            rows = clustered(df, self.sort_keys) if self.sort_keys else df
+            rows.write.option("compression", "snappy").parquet(f"{self.path}/{folder}")
+            return [folder]
+        # Rebalanced by part, so that a part with a third of the rows is written by many tasks.
+        rows = df.withColumn(PART, self._part()).hint("rebalance", F.col(PART))
+        if self.sort_keys:
+            rows = rows.sortWithinPartitions(PART, *self.sort_keys)
+        rows.write.option("compression", "snappy").partitionBy(PART).parquet(f"{self.path}/{folder}")
+        files, _ = self._log()
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        names = [f.getPath().getName() for f in files.listStatus(root)]
+        return sorted(f"{folder}/{n}" for n in names if n.startswith(f"{PART}="))
 
     def _commit(self, seen, folders: list[str], schema: T.StructType, tag: str | None) -> None:
-        seen_version = seen.version if seen else 0
-        if self.version() != seen_version:
-            raise ConcurrentCommit(f"{self.path} is past version {seen_version}")
-        row = (seen_version + 1, tag, folders, schema.json())
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        """Creates the next commit file; another writer that was faster has created it before."""
+        version = (seen.version if seen else 0) + 1
+        files, path = self._log()
+        name = self.spark._jvm.org.apache.hadoop.fs.Path(path, f"{version:012d}.json")
+        text = json.dumps({"version": version, "tag": tag, "folders": folders, "table_schema": schema.json()})
+        try:
+            out = files.create(name, False)
+        except Py4JJavaError as error:
+            if files.exists(name):
+                raise ConcurrentCommit(f"{self.path} is past version {version - 1}") from error
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
 
 
 def load_dimension(
@@ -221,52 +296,3 @@ def load_dimension(
 ) -> None:
     """Replaces a dimension by its records, flattened and brought to the declared schema."""
     table.replace(to_declared(flatten_dimension(records), schema, max_length))
-
-
-MAX_LISTED_PARTITIONS = 1_000
-
-
-def merge_partitions(spark: SparkSession, path: str, staging: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> None:
-    """Merge into a Parquet table partitioned by columns that are part of the key.
-
-    Rows can only match within their partition, so the others are neither read
-    nor written. The merged partitions are first written aside and then put in
-    place; if that last step dies, running it again from the side folder gives
-    the same table. Staging is read three times, so pass a written batch.
-    """
-    if not keys:
-        raise ValueError("a merge needs key columns")
-    if not set(partitions) <= set(keys):
-        raise ValueError("partition columns must be part of the merge key")
-    if not path_exists(spark, path):
-        _write_partitions(staging, path, partitions)
-        return
-    found = spark.read.parquet(path).schema
-    # folder names carry no type, so 202401 would come back as a number
-    declared = {f.name: f.dataType for f in staging.schema if f.name in partitions}
-    target = spark.read.schema(
-        T.StructType([T.StructField(f.name, declared.get(f.name, f.dataType)) for f in found])
-    ).parquet(path)
-    schema = grown_schema(target.schema, staging.schema)
-    batch = aligned(staging, schema)
-    touched = batch.select(*partitions).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(touched) <= MAX_LISTED_PARTITIONS:
-        # literals, so that only these folders are listed and read
-        one_of = [reduce(lambda a, b: a & b, [F.col(quoted(p)).eqNullSafe(F.lit(row[p])) for p in partitions]) for row in touched]
-        part = target.filter(reduce(lambda a, b: a | b, one_of, F.lit(False)))
-    else:
-        part = target.join(batch.select(*partitions).distinct(), list(partitions), "left_semi")
-    aside = new_dir(spark, "merge")
-    merged(part, batch, keys).write.parquet(aside)
-    put_partitions(spark, aside, path, partitions)
-
-
-def put_partitions(spark: SparkSession, aside: str, path: str, partitions: Sequence[str]) -> None:
-    """Replaces the partitions of a table that a side folder has rows for."""
-    _write_partitions(spark.read.parquet(aside), path, partitions)
-
-
-def _write_partitions(rows: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    gathered = rows.hint("rebalance", *[F.col(quoted(p)) for p in partitions])
-    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", "snappy").partitionBy(*partitions).parquet(path)

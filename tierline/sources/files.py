@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import re
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
@@ -10,6 +11,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from tierline.operators.joins import concat
 from tierline.operators.shape import quoted
@@ -49,7 +51,8 @@ def pick_up_csv(
     columns: Sequence[str] | None = None,
     mixed_headers: bool = False,
     file_columns: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
+    drop_surplus: bool = False,
 ) -> DataFrame:
     """All CSV files below a drop folder, every value a string.
 
@@ -58,8 +61,10 @@ def pick_up_csv(
     header instead and the groups concatenated by column name, at the price of
     a first pass over the texts. ``modified_after`` (strict) leaves out what a
     former run has seen. ``file_columns`` adds ``_file`` and ``_modified``.
-    Quotes in quoted fields are doubled. Fields with line breaks need
-    ``multi_line``, and then a file is read by one task.
+    Quotes in quoted fields are doubled. A file is read by one task, since a
+    field may hold line breaks; without ``multi_line``, for drops known to have
+    none, large files are split. A line with more cells than the header is an
+    error, or loses them with ``drop_surplus``.
     """
     dialect = {"header": True, "sep": sep, "encoding": _charset(encoding), "escape": '"', "multiLine": multi_line}
 
@@ -70,19 +75,43 @@ def pick_up_csv(
         rows = reader.options(enforceSchema=False, columnNameOfCorruptRecord=_MALFORMED).csv(path)
         # a line of the right length has every field, so a null there was empty
         regular = F.col(_MALFORMED).isNull()
+        if not drop_surplus and names:
+            # too short a line has no last field; too long a line has them all
+            last = F.col(quoted(names[-1]))
+            message = F.concat(F.lit("more cells than the header has: "), F.col(_MALFORMED))
+            checked = F.when(~regular & last.isNotNull(), F.raise_error(message).cast("string")).otherwise(last)
+            rows = rows.select(*[F.col(quoted(n)) for n in names[:-1]], checked.alias(names[-1]), _MALFORMED, *_file_columns(file_columns))
+            if file_columns:
+                columns_of_file = [F.col("_file"), F.col("_modified")]
+            else:
+                columns_of_file = []
+        else:
+            columns_of_file = _file_columns(file_columns)
         return rows.select(
             *[F.when(regular, F.coalesce(F.col(quoted(n)), F.lit(""))).otherwise(F.col(quoted(n))).alias(n) for n in names],
-            *_file_columns(file_columns),
+            *columns_of_file,
         )
 
     if not mixed_headers:
-        return scan(folder, columns or _drop_folder_reader(spark).options(**dialect).csv(folder).columns)
+        # the header of the files that are read, not of those a former run has seen
+        fresh = _drop_folder_reader(spark, modified_after).options(**dialect)
+        return scan(folder, columns or _header(fresh, folder) or _header(_drop_folder_reader(spark).options(**dialect), folder))
     groups = _files_by_header(spark, folder, dialect, modified_after)
     if not groups:
         return scan(folder, columns or [])
     return concat(*[scan(paths, header) for header, paths in groups])
 
 
+def _header(reader: DataFrameReader, folder: str) -> list[str]:
+    """Column names of the first file; none if there is no file."""
+    try:
+        return reader.csv(folder).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+
+
 def _charset(encoding: str) -> str:
     """Spark's name of an encoding that may be written as Python knows it."""
     name = codecs.lookup(encoding).name
@@ -111,7 +140,7 @@ def _files_by_header(
     Brings one line per file to the driver, which lists the files anyway.
     """
     lines = _drop_folder_reader(spark, modified_after).text(folder).select(
-        F.col("value").alias("line"),
+        F.decode(F.col("value").cast("binary"), str(dialect["encoding"])).alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
     )
@@ -137,17 +166,51 @@ def newest_file_time(rows: DataFrame) -> DataFrame:
 
 
 def read_run(spark: SparkSession, table_path: str, execution_id: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Only the rows one run wrote; other runs' folders are not listed for reading."""
-    return read_parquet(spark, table_path, schema=schema).filter(F.col("execution_id") == execution_id)
+    """Only the rows one run wrote; files of other runs are not listed.
+
+    The run's folder is looked for at each level of the table, so only folders
+    above it are listed. The id is a string, whatever it looks like.
+    """
+    root = table_path.rstrip("/")
+    name = "execution_id=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in execution_id)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    above = root
+    while True:
+        found = files.globStatus(hadoop.Path(f"{above}/{_literal(name)}"))
+        if found:
+            paths = [f.getPath().toString() for f in found]
+            break
+        above += "/*=*"
+        if not files.globStatus(hadoop.Path(above)):
+            return _named(read_parquet(spark, root, schema=schema).filter(F.lit(False)), {"execution_id": execution_id})
+    reader = spark.read.option("basePath", root)
+    return _named((reader.schema(schema) if schema else reader).parquet(*map(_literal, paths)), {"execution_id": execution_id})
+
+
+# Characters that are written as %XX in the names of partition folders.
+_ESCAPED = "\"#%'*/:=?\\{}[]^" + "".join(map(chr, [*range(1, 32), 127]))
+
+
+def _literal(path: str) -> str:
+    """The path with nothing that would be a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _named(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
+    """Folder values as the strings they are; inferred ones would turn digits into numbers."""
+    return df.withColumns({k: F.lit(v) for k, v in values.items() if k in df.columns})
 
 
 def read_below(spark: SparkSession, root: str, prefix: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Rows of files below a folder of a table; nothing else is listed.
 
-    Columns that the folders between ``root`` and ``prefix`` stand for are kept.
+    Columns that the folders between ``root`` and ``prefix`` stand for are kept, as strings.
     """
     reader = spark.read.option("basePath", root)
-    return (reader.schema(schema) if schema else reader).parquet(f"{root.rstrip('/')}/{prefix.strip('/')}")
+    rows = (reader.schema(schema) if schema else reader).parquet(f"{root.rstrip('/')}/{prefix.strip('/')}")
+    folders = [part.partition("=") for part in prefix.strip("/").split("/")]
+    return _named(rows, {k: unquote(v) for k, eq, v in folders if eq and v != "__HIVE_DEFAULT_PARTITION__"})
 
 
 def read_all_runs(spark: SparkSession, root: str, schema: T.StructType | str | None = None) -> DataFrame:

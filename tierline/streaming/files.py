@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators.shape import quoted
-from tierline.sinks.tables import SnapshotTable, merge_partitions
+from tierline.sinks.tables import SnapshotTable
 
 
 def new_files(
@@ -84,16 +84,14 @@ def upsert_partitions_available(
     """Merges what is new into a partitioned table, then stops.
 
     Only the partitions a batch touches are rewritten. A batch that comes again
-    replaces its own rows, which needs a key in every row: a null is an error.
+    under another checkpoint replaces its own rows, which needs a key in every
+    row: a null is an error.
     """
     any_null = reduce(lambda a, b: a | b, [F.col(quoted(k)).isNull() for k in keys])
     first = F.col(quoted(keys[0]))
     checked = F.when(any_null, F.raise_error(F.lit(f"null in the merge key {list(keys)}"))).otherwise(first)
-
-    def merge(batch: DataFrame, _: int) -> None:
-        merge_partitions(batch.sparkSession, path, batch.withColumn(keys[0], checked), keys, partitions)
-
-    return _each_batch(stream, merge, checkpoint)
+    table = SnapshotTable(stream.sparkSession, path, partition_by=partitions)
+    return upsert_available(stream, table, keys, checkpoint, lambda batch: batch.withColumn(keys[0], checked))
 
 
 def _each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

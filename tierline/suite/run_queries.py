@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import quality, runs
 from tierline.plans import batch
-from tierline.sinks.tables import SnapshotTable, merge_partitions
+from tierline.sinks.tables import SnapshotTable
 from tierline.streaming import files as streams
 from tierline.suite.incremental_queries import _CONTROL_SQL, _control
 from tierline.suite.registry import query, table
@@ -182,9 +182,10 @@ def stream_upsert_by_day(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     old = events.select(day, "event_id", F.lit("old").alias("event_type"))
     others = events.select(day, (-1 - F.col("event_id")).alias("event_id"), F.lit("old").alias("event_type"))
-    merge_partitions(spark, f"{root}/events", old.unionByName(others), ["day", "event_id"], ["day"])
+    facts = SnapshotTable(spark, f"{root}/events", partition_by=["day"])
+    facts.merge(old.unionByName(others), ["day", "event_id"])
     stream = streams.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     streams.upsert_partitions_available(
         stream.select(day, "event_id", "event_type"), f"{root}/events", ["day", "event_id"], ["day"], f"{root}/checkpoint"
     )
-    return spark.read.schema("event_id long, event_type string, day string").parquet(f"{root}/events")
+    return facts.read()

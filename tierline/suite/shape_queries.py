@@ -110,9 +110,23 @@ def dedup_latest(spark, sf_dir):
     return shape.dedup(lines, ["l_orderkey", "l_linenumber"], [F.col(c).desc() for c in _LINE_ORDER])
 
 
-@query("PRJ6", "SELECT DISTINCT l_orderkey FROM lineitem")
+@query("PRJ6", "SELECT o_custkey, min(o_orderpriority) AS o_orderpriority, count(*) > 0 AS seen FROM orders GROUP BY o_custkey")
 def dedup_any(spark, sf_dir):
-    return shape.dedup(table(spark, sf_dir, "lineitem"), "l_orderkey").select("l_orderkey")
+    """Copies that differ in nothing but the row they came from, and one column that decides."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", F.lit(True).alias("seen"))
+    return shape.dedup(orders, "o_custkey", [F.col("o_orderpriority").asc()])
+
+
+_LEVELS = 13
+
+
+@query("PRJ1 PRJ18", f"SELECT event_id, event_type AS a_{'_'.join(f'l{n}' for n in range(_LEVELS))} FROM events")
+def flatten_deep(spark, sf_dir):
+    """More levels than anyone nests; every leaf becomes a column."""
+    value = F.col("event_type")
+    for level in reversed(range(_LEVELS)):
+        value = F.struct(value.alias(f"l{level}"))
+    return shape.flatten_dimension(table(spark, sf_dir, "events").select("event_id", value.alias("a")))
 
 
 @query(

@@ -91,6 +91,24 @@ def path_pruned_scan(spark, sf_dir):
     return files.read_run(spark, root, "P")
 
 
+@query("SRC6", "SELECT o_orderkey, '007' AS execution_id FROM orders WHERE o_orderstatus = 'P'")
+def run_scan_numeric_ids(spark, sf_dir):
+    """Ids of digits are strings: 007 is not 7."""
+    root = new_dir(spark, "runs")
+    run = F.when(F.col("o_orderstatus") == "P", "007").otherwise("7").alias("execution_id")
+    layers.write_partitioned(table(spark, sf_dir, "orders").select("o_orderkey", run), root, ["execution_id"])
+    return files.read_run(spark, root, "007")
+
+
+@query("SRC3", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
+def csv_pickup_line_breaks(spark, sf_dir):
+    """Whole document texts, with their line breaks, commas and quotes."""
+    root = new_dir(spark, "texts")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.write.options(header=True, escape='"', quoteAll=True).csv(root)
+    return files.pick_up_csv(spark, root)
+
+
 @query("SRC6", "SELECT o_orderkey, o_totalprice, o_orderstatus AS execution_id FROM orders WHERE o_orderstatus = 'F'")
 def path_prefix_scan(spark, sf_dir):
     root = _orders_by_status(spark, sf_dir)

@@ -8,7 +8,9 @@ from tierline.functions import survey as rules
 from tierline.operators import reports
 from tierline.operators.shape import rename
 from tierline.plans import batch, steps
+from tierline.plans.load import load
 from tierline.sinks import layers
+from tierline.sinks.tables import SnapshotTable
 from tierline.sources import files
 from tierline.suite import inputs
 from tierline.suite.inputs import with_kpis
@@ -159,3 +161,42 @@ def cleaned_batch(spark, sf_dir):
     docs = table(spark, sf_dir, "events").select(F.array(record, record).alias("results"))
     run = batch.Run("events", "run-2", "2024-06-15T10:30:00")
     return batch.processed(docs, run, "event_id", "SELECT *, UPPER(who_kind) AS label FROM source_data")
+
+
+@query("PRJ9 PRJ11", "SELECT o_orderkey AS source_data, 'source_data' AS origin FROM orders WHERE o_orderstatus = 'F'")
+def cleaning_sql_literals(spark, sf_dir):
+    """The input's name as a relation, a literal, an alias and in a comment."""
+    text = "SELECT o_orderkey AS source_data, 'source_data' AS origin -- of source_data\nFROM source_data WHERE o_orderstatus = 'F'"
+    return steps.run_sql(table(spark, sf_dir, "orders"), text)
+
+
+@query("PRJ17 SNK10", "SELECT o_orderstatus, count(*) AS orders FROM orders WHERE o_totalprice > 1000 GROUP BY o_orderstatus")
+def views_from_folder(spark, sf_dir):
+    """Views from SQL files in name order, the second over the first."""
+    root = new_dir(spark, "sql")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("tierline_orders")
+    texts = [
+        ("1_large", "SELECT * FROM tierline_orders WHERE o_totalprice > 1000"),
+        ("2_counts", "SELECT o_orderstatus, count(*) AS orders FROM `1_large` GROUP BY o_orderstatus"),
+    ]
+    for name, text in texts:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(f"{root}/{name}")
+    # Spark names files itself, so a folder stands for each file here.
+    for name, _ in texts:
+        [(_, text)] = steps.read_statements(spark, f"{root}/{name}", "*.txt")
+        steps.refresh_views(spark, {name: text})
+    return spark.table("2_counts")
+
+
+@query(
+    "SNK5 INC6 DQ1 DQ2 DQ4",
+    """SELECT count(*) AS table_rows, strftime(max(o_orderdate), '%Y-%m-%d') AS watermark, 'passed' AS verdict FROM orders""",
+)
+def load_end_to_end(spark, sf_dir):
+    """Two batches, the second incremental: merged, watermarked, checked."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    facts = SnapshotTable(spark, new_dir(spark, "facts"), bucket_by=["o_orderkey"], buckets=8)
+    checks = [{"type": "row_count_min", "threshold": 1}, {"type": "null_check", "columns": ["o_orderkey"]}]
+    first = load(facts, orders.filter("day < '1997-01-01'"), ["o_orderkey"], "batch-1", "day", checks=checks)
+    done = load(facts, orders.filter(F.col("day") >= first.watermark), ["o_orderkey"], "batch-2", "day", checks=checks)
+    return spark.createDataFrame([(done.rows, done.watermark, done.verdict)], "table_rows long, watermark string, verdict string")

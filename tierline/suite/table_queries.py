@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tierline.operators.joins import new_columns, without_matches
 from tierline.sinks import layers
-from tierline.sinks.tables import SnapshotTable, load_dimension, merge_partitions
+from tierline.sinks.tables import SnapshotTable, load_dimension, misfits
 from tierline.sources import files
 from tierline.sources.envelopes import dimension_records
 from tierline.suite.registry import query, table
@@ -59,7 +59,6 @@ def merge_upsert(spark, sf_dir):
 )
 def merge_by_period(spark, sf_dir):
     """A year comes again; only the months of that year are rewritten."""
-    path = new_dir(spark, "orders-by-period")
     orders = table(spark, sf_dir, "orders").select(
         F.date_format("o_orderdate", "yyyyMM").alias("period"), "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate"
     )
@@ -67,9 +66,77 @@ def merge_by_period(spark, sf_dir):
     again = orders.filter(F.year("o_orderdate") == 1997).select(
         "period", "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit("S").alias("o_orderstatus")
     )
-    merge_partitions(spark, path, facts, ["period", "o_orderkey"], ["period"])
-    merge_partitions(spark, path, again, ["period", "o_orderkey"], ["period"])
-    return spark.read.schema(facts.schema).parquet(path)
+    by_period = SnapshotTable(spark, new_dir(spark, "orders-by-period"), partition_by=["period"])
+    by_period.merge(facts, ["period", "o_orderkey"])
+    by_period.merge(again, ["period", "o_orderkey"])
+    return by_period.read()
+
+
+@query(
+    "SNK5 SNK8",
+    """SELECT strftime(o_orderdate, '%Y%m') AS period, o_orderkey,
+    o_totalprice + CASE WHEN o_orderkey % 4 = 0 THEN 2 WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS o_totalprice,
+    CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 4 <> 0 THEN o_orderpriority END AS priority FROM orders""",
+)
+def merge_growth_by_period(spark, sf_dir):
+    """A column arrives with the second batch; the third, without it, leaves the values of other rows."""
+    orders = table(spark, sf_dir, "orders")
+    period, price = F.date_format("o_orderdate", "yyyyMM").alias("period"), F.col("o_totalprice")
+    facts = SnapshotTable(spark, new_dir(spark, "growing"), partition_by=["period"])
+    facts.merge(orders.select(period, "o_orderkey", "o_totalprice"), ["period", "o_orderkey"])
+    second = orders.filter("o_orderkey % 2 = 0").select(period, "o_orderkey", (price + 1).alias("o_totalprice"), F.col("o_orderpriority").alias("priority"))
+    facts.merge(second, ["period", "o_orderkey"])
+    third = orders.filter("o_orderkey % 4 = 0").select(period, "o_orderkey", (price + 2).alias("o_totalprice"))
+    facts.merge(third, ["period", "o_orderkey"])
+    return facts.read()
+
+
+@query(
+    "SNK5",
+    """SELECT CASE WHEN l_linenumber <> 3 THEN l_shipdate END AS day, l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 2 THEN l_quantity + 1 ELSE l_quantity END AS quantity FROM lineitem
+    UNION ALL SELECT NULL, l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_linenumber = 3""",
+)
+def merge_null_period(spark, sf_dir):
+    """A partition per day, thousands of them, and one of rows without a day, which match nothing and stay."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 3, F.col("l_shipdate")).alias("day"), "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity")
+    )
+    facts = SnapshotTable(spark, new_dir(spark, "days"), partition_by=["day"])
+    facts.merge(lines, ["day", "l_orderkey", "l_linenumber"])
+    facts.merge(lines.filter("l_linenumber in (2, 3)").withColumn("quantity", F.col("quantity") + 1), ["day", "l_orderkey", "l_linenumber"])
+    return facts.read()
+
+
+@query(
+    "SNK5",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders""",
+)
+def merge_few_keys(spark, sf_dir):
+    """Few keys change; only their buckets are rewritten."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    facts = SnapshotTable(spark, new_dir(spark, "bucketed"), bucket_by=["o_orderkey"], buckets=16)
+    facts.merge(orders, ["o_orderkey"])
+    facts.merge(orders.filter("o_orderkey % 1000 = 1").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"])
+    return facts.read()
+
+
+@query(
+    "SNK4 SNK8",
+    """SELECT 'key' AS "column", count(*) FILTER (WHERE o_orderkey * 1000000 > 2147483647) AS lost FROM orders
+    UNION ALL SELECT 'status', count(*) FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def append_misfit_counts(spark, sf_dir):
+    """What a lossy append would null, counted per column before it is done."""
+    orders = table(spark, sf_dir, "orders")
+    key = (F.col("o_orderkey") * 1_000_000).alias("key")
+    status = F.when(F.col("o_orderstatus") == "F", "1").otherwise(F.col("o_orderstatus")).alias("status")
+    facts = SnapshotTable(spark, new_dir(spark, "misfits"))
+    facts.append(spark.createDataFrame([], "key int, status int"))
+    batch = orders.select(key, status)
+    lost = misfits(batch, facts.schema())
+    facts.append(batch, lossy=True)
+    return lost
 
 
 @query("SNK4 SNK8", f"SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders UNION ALL {_STAGING_SQL}")

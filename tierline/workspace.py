@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,12 @@ SESSION_SETTINGS = {
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
 
+@cache
+def _local_dir() -> str:
+    """One per process, for local sessions; no session setting is changed for it."""
+    return tempfile.mkdtemp(prefix="tierline-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can read, as configured on the session."""
     configured = spark.conf.get(SHARED_DIR_KEY, None)
@@ -39,9 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tierline-")
-    spark.conf.set(SHARED_DIR_KEY, folder)
-    return folder
+    return _local_dir()
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
