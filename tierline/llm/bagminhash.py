@@ -246,6 +246,9 @@ def _links(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     buckets = spread.select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = checkpointed(buckets.join(shared, "bucket"))
+    # The texts move once, those of nodes that meet another; all comparisons fetch them from there.
+    meeting = members.select(F.col("node").alias("row")).distinct()
+    rows = checkpointed(rows.select("row", "text", "bands").join(meeting, "row", "left_semi"))
     central = members.groupBy("node").agg(F.sum("size").alias("c"))
     led = members.join(central, "node").groupBy("bucket").agg(F.max(F.struct("c", (-F.col("node")).alias("o"))).alias("x"))
     leader = led.select("bucket", (-F.col("x.o")).alias("leader"))
