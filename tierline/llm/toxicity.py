@@ -36,6 +36,8 @@ MIN_POSITIVES = 3
 SURE = 4.0
 # Beginnings of words, in letters: endings vary in most languages.
 BEGINNINGS = (4, 5, 6)
+# Words that a task gathers before it sums them.
+COUNTED = 2_000_000
 STEPS = 800
 RATE = 0.1
 DECAY = 1e-5
@@ -91,9 +93,33 @@ def _words(df: DataFrame, known: np.ndarray | None) -> DataFrame:
 
 
 def _counts(df: DataFrame, known: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Words (or places) that at least so many texts have, in order, and how many have them."""
-    each = _words(df, known).select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    table = each.filter(F.col("n") >= float(least)).toArrow()
+    """Words (or places) that at least so many texts have, in order, and how many have them.
+
+    Places are summed per task. All words of a sample would be more than its texts are, so one task counts them
+    there and only passes on those that are frequent enough; the sample's size is bounded.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
+
+        def summed() -> None:
+            nonlocal words, n
+            words, at = np.unique(np.concatenate([words, *held]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n, np.ones(len(at) - len(n), np.int64)]), len(words)).astype(np.int64)
+            held.clear()
+
+        for _, raw, starts in blocks(batches, "text"):
+            held.append(present(raw, starts, known)[0])
+            if sum(map(len, held)) > COUNTED:
+                summed()
+        summed()
+        often = n >= (least if known is None else 1)
+        yield pa.RecordBatch.from_arrays([pa.array(words[often].view(np.int64)), pa.array(n[often])], ["word", "n"])
+
+    texts = df.select("text")
+    each = (texts.coalesce(1) if known is None else texts).mapInArrow(run, "word long, n long")
+    table = each.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= float(least)).toArrow()
     words, n = np.asarray(table["word"]).view(np.uint64), np.asarray(table["n"])
     order = np.argsort(words)
     return words[order], n[order]
