@@ -34,6 +34,8 @@ MARKERS = 16
 MARKER_LETTERS = 5
 MIN_LIFT = 4.0
 STEPS = 60
+# A domain whose documents would have to count more often than this on average is left as it is.
+MAX_RATE = 20.0
 # Steps without a smaller gap after which the best so far is the answer.
 PATIENCE = 12
 TOLERANCE = 1e-6
@@ -184,11 +186,14 @@ def solve(cells: DataFrame, weights: Mapping[int, float], domains: int, keep_all
     have, gram = measured(F.lit(lowest + 1))
     have = [x / (lowest + 1) for x in have]
     total = sum(have)
-    live = [k for k in range(domains) if weights.get(k, 0) > 0 and have[k] > 1e-9 * max(total, 1)]
+    wanted = [k for k in range(domains) if weights.get(k, 0) > 0 and have[k] > 0]
+    # A domain that hardly anything belongs to would take rates without bound; it keeps what it has.
+    live = [k for k in wanted if have[k] * MAX_RATE >= weights[k] * total]
     share = sum(weights[k] for k in live)
-    targets = [0.0] * domains
+    targets = [have[k] if k in wanted else 0.0 for k in range(domains)]
+    rest = total - sum(have[k] for k in wanted if k not in live)
     for k in live:
-        targets[k] = weights[k] / share * total
+        targets[k] = weights[k] / share * rest
     if keep_all and live:
         grow = max(1.0, *[have[k] / targets[k] for k in live])
         targets = [t * grow for t in targets]
@@ -228,7 +233,7 @@ def mix(
     """The fitted rates as a function of a row's features, and the features of all rows (key first).
 
     ``weights`` are the shares of tokens that the domains are to have. The tokens of all are kept, or with ``keep_all``
-    multiplied until no domain has to shrink, and no rate is below 1. A domain of weight 0 or without expected tokens is
+    multiplied until no domain has to shrink, and no rate is below 1. A domain of weight 0 or without a MAX_RATE-th of its expected tokens is
     left out and the others share its weight. Null texts are empty and have no tokens; their rate follows from their
     posterior like any other.
     """
