@@ -114,3 +114,25 @@ def test_secrets_copied_by_many_owners_are_examples(spark):
     assert rows[0].spans == "" and rows[0].n_live == 0
     assert rows[6].spans == f"opaque:5:{5 + len(own)}" and rows[6].n_live == 1
     assert rows[7].spans == "" and len(rows) == 8
+
+
+@pytest.mark.parametrize("rich", [60, 600])
+def test_every_kind_gains_spans_where_loose_forms_are_common(spark, rich):
+    strict = ["mail bob.k{0}@example.com now", "host 10.0.{1}.7 is up", "card 4111 1111 1111 1111 paid {0}", "please call +1 (415) 555-{0:04d} now"]
+    loose = {
+        "email": "mail bob [at] example [dot] com now",
+        "ip": "host 10[.]0[.]3[.]7 is up",
+        "card": "card 4111.1111.1111.1111 paid",
+        "phone": "please call (415) 555-2671 now",
+    }
+    wrong = ["host 10[.]0[.]333[.]7 is up", "card 4111.1111.1111.1112 paid", "please call 12 34 56 now", "meet [at] noon.today then"]
+    texts = [t.format(i, i % 250) for i in range(600) for t in strict]
+    ends = len(texts)
+    df = frame(spark, texts + list(loose.values()) * rich + wrong * 20)
+    rows = {r.doc_id: r for r in pii.digest(pii.detect(df, pii.fit(df))).collect()}
+    for i, (kind, text) in enumerate(loose.items()):
+        start = text.index(" ", 8 if kind == "phone" else 0) + 1
+        end = text.rindex(" com") + 4 if kind == "email" else start + len(re.match(r"[0-9.\[\]() -]+[0-9]", text[start:])[0])
+        assert rows[ends + i].spans == f"{kind}:{start}:{end}", kind
+    assert {rows[i].spans for i in range(ends + 4 * rich, len(rows))} == {""}
+    assert {rows[i].n_added for i in range(ends)} == {0}

@@ -1,13 +1,21 @@
 """Personal data: candidate spans, boosted trees over their format and context, calibrated thresholds.
 
 Generators propose spans with high recall: four strict patterns (whose matches
-that pass their own check are always reported) and looser ones that overlap
-them. A candidate is described by small integer features of its format and of
-the text around it. There are no labels for personal data, so the strict checks
-supply them: a candidate that shares text with a checked span is positive. What
-marks the check itself (the plus of a phone number, the sign of an address) is
-no feature of the loose candidates, so the trees learn how personal data looks
-and where it stands, and carry that over to forms the strict patterns miss.
+that pass their own check are always reported) and one or two looser ones per
+kind. A loose candidate is described by small integer features of its format and
+of the text around it. There are no labels for personal data, so the checks
+supply them:
+
+* A checked strict span is rewritten to the loose forms of its kind (its at sign
+  and dots spelled, its plus dropped) and is a positive where it stands.
+* A loose candidate that fails the check of its kind is negative. One that passes
+  is positive for cards (Luhn) and addresses of hosts (four octets). The check of
+  mail and phones says little, so there one without any sign in its form or
+  context is negative, and one with a sign has no label.
+* Candidates that touch a checked span can never be added and do not count.
+
+So the trees learn how personal data looks and where it stands, from examples
+that look like what may be added.
 
 Trees only see the features, so the number of candidates and positives per
 combination of features is all that fitting needs: one aggregation over all
@@ -40,6 +48,7 @@ OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]{2,63}(?:\x20?(?:[\[(]\x20?(?:dot|DOT)\x20?[\])]|\.)\x20?[A-Za-z0-9-]{2,63})+",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9A-Za-z])",
+    "ip": r"(?<![0-9A-Za-z.])(?![0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9])[0-9]{1,3}(?:(?:\x20?[\[(]\x20?(?:\.|dot|DOT)\x20?[\])]\x20?|\x20(?:dot|DOT)\x20|\.)[0-9]{1,3}){3}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20.-][0-9]{2,4}){2,4}(?![0-9A-Za-z])",
 }
 NUMBER = r"(?<![0-9A-Za-z+.-])[0-9]{9,19}(?![0-9A-Za-z])"
@@ -53,11 +62,11 @@ WORDS = {
 # name -> number of values; their product bounds the table that fitting collects.
 FEATURES = {
     "kind": 4,
-    "loose": 2,
     "checked": 2,
     "count": 6,
     "groups": 4,
     "bracket": 2,
+    "spelled": 2,
     "word": 2,
     "before": 4,
     "after": 4,
@@ -90,8 +99,8 @@ def _side(character: Column) -> Column:
     )
 
 
-def _described(text: Column, span: Column, kind: str, loose: bool, checked: Column) -> Column:
-    """A candidate with its features."""
+def _described(text: Column, span: Column, kind: str) -> Column:
+    """A candidate in a loose form with its features."""
     hit, start, end = span["hit"], span["start"], span["end"]
     count = F.length(digits(hit))
     left = F.lower(F.substring(text, F.greatest(start - SIDE + 1, F.lit(1)), F.least(start, F.lit(SIDE))))
@@ -102,11 +111,11 @@ def _described(text: Column, span: Column, kind: str, loose: bool, checked: Colu
         F.lit(kind).alias("kind"),
         F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
-            F.lit(int(loose)).alias("loose"),
-            checked.cast("int").alias("checked"),
+            _loose_passes(kind, hit).cast("int").alias("checked"),
             F.when(count < 4, 0).when(count < 9, 1).when(count < 10, 2).when(count < 12, 3).when(count < 16, 4).otherwise(5).alias("count"),
             (F.least(F.greatest(groups, F.lit(1)), F.lit(4)) - 1).alias("groups"),
             F.instr(hit, "(").cast("boolean").cast("int").alias("bracket"),
+            hit.rlike("dot|DOT").cast("int").alias("spelled"),
             left.rlike(WORDS[kind]).cast("int").alias("word"),
             _side(F.substring(text, start, F.when(start > 0, 1).otherwise(0))).alias("before"),
             _side(F.substring(text, end + 1, F.lit(1))).alias("after"),
@@ -125,8 +134,34 @@ def _passes(kind: str, hit: Column) -> Column:
     return count.between(9, 15)
 
 
+def _loose_passes(kind: str, hit: Column) -> Column:
+    """The check of a kind, as far as a loose form can satisfy it."""
+    if kind == "ip":
+        return _passes(kind, F.regexp_replace(hit, "[^0-9]+", "."))
+    if kind == "phone":
+        return F.length(digits(hit)).between(7, 15)
+    return _passes(kind, hit)
+
+
+def _rewritten(kind: str, hit: Column) -> list[Column]:
+    """A strict match in the loose forms of its kind; what a loose pattern would not find as a whole is no example."""
+    if kind == "email":
+        name, domain = F.substring_index(hit, "@", 1), F.substring_index(hit, "@", -1)
+        spelled = [F.concat(name, F.lit(f" {a}at{b} "), F.replace(domain, F.lit("."), F.lit(dot))) for a, b, dot in (("[", "]", " [dot] "), ("(", ")", " (dot) "))]
+        return [*spelled, *[F.concat(name, F.lit(at), domain) for at in (" [at] ", " (at) ")]]
+    if kind == "ip":
+        return [F.replace(hit, F.lit("."), F.lit(dot)) for dot in ("[.]", "(.)", "[dot]", " dot ")]
+    if kind == "card":
+        return [F.regexp_replace(digits(hit), "([0-9]{4})(?=[0-9])", "$1.")]
+    return [F.regexp_replace(hit, r"^\+[0-9]{1,3}[\x20.-]+", ""), digits(hit)]
+
+
+def _whole(kind: str) -> str:
+    return "^(?:" + "|".join([LOOSE[kind], *([NUMBER] if kind == "phone" else [])]) + ")$"
+
+
 def with_candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``pii_base`` (the checked strict spans) and ``pii_candidates`` (all proposals, described)."""
+    """Adds ``pii_base`` (the checked strict spans) and ``pii_candidates`` (the loose ones that touch none of them, described)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     numbers = text.rlike("[0-9]")
     worth = {"email": F.contains(text, F.lit("@")), "ip": numbers, "card": numbers, "phone": F.contains(text, F.lit("+"))}
@@ -137,36 +172,50 @@ def with_candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
         found = F.filter(F.col(f"_raw_{kind}"), lambda s: _passes(kind, s["hit"]))
         return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
-    based = raw.withColumn("pii_base", F.concat(*[kept(k) for k in KINDS]))
+    based = raw.withColumn("pii_base", F.concat(*[kept(k) for k in KINDS])).drop(*[f"_raw_{k}" for k in KINDS])
     bracket = F.contains(text, F.lit("(")) | F.contains(text, F.lit("["))
+    spelled = F.contains(text, F.lit(" dot ")) | F.contains(text, F.lit(" DOT "))
+    worth = {"email": bracket, "ip": numbers & (bracket | spelled), "card": numbers, "phone": numbers}
+    proposals = []
+    for kind, pattern in (*LOOSE.items(), ("phone", NUMBER)):
+        free = F.filter(matches(text, pattern, worth[kind]), lambda c: ~F.exists(F.col("pii_base"), lambda b: overlaps(b, c)))
+        proposals.append(F.transform(free, lambda c: _described(text, c, kind)))
+    return based.withColumn("pii_candidates", F.concat(*proposals))
 
-    def proposed(found: Column, kind: str, loose: bool) -> Column:
-        def described(s: Column) -> Column:
-            checked = F.lit(False) if loose and kind != "card" else _passes(kind, s["hit"])
-            return _described(text, s, kind, loose, checked)
 
-        return F.transform(found, described)
+def _examples(text: Column) -> Column:
+    """Features and label ``y`` of all that trees learn from in a text."""
+    parts = []
+    for kind in KINDS:
+        own = F.filter("pii_base", lambda b: b["kind"] == kind)
+        hit = lambda b: F.substring(text, b["start"] + 1, b["end"] - b["start"])
+        for form in range(len(_rewritten(kind, F.lit("")))):
+            spans = F.transform(own, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), _rewritten(kind, hit(b))[form].alias("hit")))
+            fits = F.filter(spans, lambda x: x["hit"].rlike(_whole(kind)))
+            parts.append(F.transform(fits, lambda x: F.struct(_described(text, x, kind)["f"].alias("f"), F.lit(True).alias("y"))))
 
-    proposals = [proposed(F.col(f"_raw_{k}"), k, False) for k in KINDS]
-    for kind, pattern in (*LOOSE.items(), ("phone", NUMBER)):
-        proposals.append(proposed(matches(text, pattern, bracket if kind == "email" else numbers), kind, True))
-    return based.withColumn("pii_candidates", F.concat(*proposals)).drop(*[f"_raw_{k}" for k in KINDS])
+    def label(c: Column) -> Column:
+        f = c["f"]
+        sign = (f["word"] == 1) | F.when(c["kind"] == "email", f["spelled"] == 1).otherwise(f["bracket"] == 1)
+        return F.when(f["checked"] == 0, False).when(c["kind"].isin("card", "ip"), True).when(~sign, False)
+
+    found = F.transform("pii_candidates", lambda c: F.struct(c["f"].alias("f"), label(c).alias("y")))
+    return F.concat(*parts, F.filter(found, lambda x: x["y"].isNotNull()))
 
 
 def fit(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", rounds: int = 24, rate: float = 0.3, precision: float = 0.98) -> Model:
     """Trees and thresholds from all documents.
 
     One fifth of them (by a hash of key and text) only calibrates: the threshold of
-    a kind is the lowest score from which on at least ``precision`` of its held-out
-    loose candidates are positive, less two standard errors. A kind without enough
-    evidence gets a threshold that nothing reaches, so that nothing is added.
+    a kind is the lowest score from which on, at every score, at least ``precision``
+    of its held-out examples that pass its check are positive, and of all of them less
+    two standard errors. A kind
+    without enough evidence (about 40 held-out positives) gets a threshold that
+    nothing reaches, so that nothing is added.
     """
     seen = with_candidates(df, text_col).select(
         (F.pmod(F.xxhash64(F.col(f"`{key_col}`"), F.col(f"`{text_col}`")), F.lit(5)) == 0).alias("held"),
-        F.transform(
-            "pii_candidates",
-            lambda c: F.struct(c["f"].alias("f"), F.exists(F.col("pii_base"), lambda b: overlaps(b, c)).alias("y")),
-        ).alias("c"),
+        _examples(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("c"),
     )
     rows = (
         seen.select("held", F.explode("c").alias("c"))
@@ -192,7 +241,7 @@ def fit(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", rounds:
         scores = [s + _leaf(tree, c) for s, c in zip(scores, cells)]
     thresholds = {}
     for code, kind in enumerate(KINDS):
-        held = [i for i, r in enumerate(order) if r.held and r.kind == code and r.loose]
+        held = [i for i, r in enumerate(order) if r.held and r.kind == code and r.checked]
         thresholds[kind] = _threshold([(scores[i], n[i], p[i]) for i in held], precision)
     return Model(tuple(trees), thresholds, start)
 
@@ -235,10 +284,12 @@ def _grown(cells, slope, curve, members, depth: int, rate: float) -> Split | flo
 def _threshold(scored: list[tuple[float, float, float]], precision: float) -> float:
     lowest, n, p = math.inf, 0.0, 0.0
     for score in sorted({s for s, _, _ in scored}, reverse=True):
-        n += sum(x[1] for x in scored if x[0] == score)
-        p += sum(x[2] for x in scored if x[0] == score)
+        own_n, own_p = (sum(x[i] for x in scored if x[0] == score) for i in (1, 2))
+        if own_p < precision * own_n:
+            break
+        n, p = n + own_n, p + own_p
         share = (p + 1) / (n + 2)
-        if p / n >= precision and share - 2 * math.sqrt(share * (1 - share) / (n + 2)) >= precision - 0.05:
+        if share - 2 * math.sqrt(share * (1 - share) / (n + 2)) >= precision - 0.05:
             lowest = score
     return lowest
 
@@ -253,13 +304,14 @@ def _sql(tree: Split | float) -> str:
 def detect(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Adds ``pii_base`` and ``pii_spans`` (the base and what the trees add), arrays of start, end, kind.
 
-    Added spans never touch a base span or each other; the higher score wins, then the smaller start.
+    Added spans pass the check of their kind and never touch a base span or each other; the higher score wins, then the
+    smaller start.
     Null texts are empty. Rows, repeated ones too, stay one to one; other columns stay.
     """
     found = with_candidates(df, text_col)
     score = " + ".join([f"{model.base_score!r}D", *map(_sql, model.trees)])
     scored = F.expr(
-        "transform(filter(pii_candidates, c -> c.f.loose = 1), "
+        "transform(filter(pii_candidates, c -> c.f.checked = 1), "
         f"c -> named_struct('order', -({score}), 'start', c.start, 'end', c.end, 'kind', c.kind))"
     )
     reached = {k: t for k, t in model.thresholds.items() if t < math.inf}
