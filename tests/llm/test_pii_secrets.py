@@ -136,3 +136,16 @@ def test_every_kind_gains_spans_where_loose_forms_are_common(spark, rich):
         assert rows[ends + i].spans == f"{kind}:{start}:{end}", kind
     assert {rows[i].spans for i in range(ends + 4 * rich, len(rows))} == {""}
     assert {rows[i].n_added for i in range(ends)} == {0}
+
+
+def test_a_value_of_one_owner_is_live_however_often_it_is_copied(spark):
+    own = "Zm9vYmFyQmF6UXV4OTg3NjU0MzIxMEhJ"
+    texts = [f"keep {own} safe"] * 30 + [f"keep {own} safe {i}" for i in range(30)]
+    df = frame(spark, texts).withColumn("source", secrets.F.lit("one"))
+    rows = secrets.detect(df).collect()
+    assert len(rows) == 60
+    for r in rows:
+        [span] = r.secrets
+        assert span.live and span.owners == 1 and span.repositories == 31
+    named = secrets.detect(df, repository_col="doc_id").collect()
+    assert {s.repositories for r in named for s in r.secrets} == {60}

@@ -25,7 +25,6 @@ OPAQUE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
 SECRET_LENGTH = 12
 
 MAX_OWNERS = 1
-MAX_REPOSITORIES = 20
 
 
 def _spans(found: Column, kind: str, value, base: bool) -> Column:
@@ -62,7 +61,9 @@ def candidates(text: Column) -> tuple[Column, Column]:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of every value; a null owner or repository counts as one.
+    """Distinct owners of every value and their repositories; a null owner or repository counts as one.
+
+    A repository belongs to an owner: the same text of two owners is two.
 
     Each step groups by all that is still to be told apart, so a value that is
     everywhere is spread over tasks until only partial counts are left of it.
@@ -77,14 +78,14 @@ def ownership(found: DataFrame) -> DataFrame:
     )
 
 
-def detect(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
+def detect(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None) -> DataFrame:
     """One row per row of ``df``: the key and ``secrets``, an array of spans.
 
     A span has start, end, kind, value (hash), base, owners, repositories and live.
     Strict spans are all there; an opaque token is there if it touches no strict
-    span and is live, that is held by ``MAX_OWNERS`` owners and
-    ``MAX_REPOSITORIES`` repositories at most. Null texts are empty; repeated
-    rows stay apart and count as one repository.
+    span and is live, that is held by ``MAX_OWNERS`` owners at most, in however many
+    repositories. Without ``repository_col`` every distinct text is a repository, so
+    that copies count once. Null texts are empty; repeated rows stay apart.
     """
     spark = df.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -93,7 +94,7 @@ def detect(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", owner
         F.monotonically_increasing_id().alias("row"),
         F.col(f"`{key_col}`").alias("key"),
         F.col(f"`{owner_col}`").alias("owner"),
-        F.col(f"`{repository_col}`").alias("repository"),
+        (F.col(f"`{repository_col}`") if repository_col else F.xxhash64(text)).alias("repository"),
         strict.alias("strict"),
         opaque.alias("opaque"),
     )
@@ -110,7 +111,7 @@ def detect(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", owner
             "s.*",
             "owners",
             "repositories",
-            ((F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)).alias("live"),
+            (F.col("owners") <= MAX_OWNERS).alias("live"),
         ).alias("s"),
     )
     told = judged.filter("s.base or s.live").groupBy("row", "key").agg(F.array_sort(F.collect_list("s")).alias("secrets"))
