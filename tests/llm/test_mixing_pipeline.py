@@ -94,3 +94,18 @@ def test_registered(spark):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_a_rare_domain_reaches_its_target_and_one_without_labels_is_left_out(spark):
+    rows = [(i, "good words and more of the same kind " * 2) for i in range(1100)] + [(1100, "###$$$ BAD BAD ### NOT $$$ AT ALL &&& FINE *** |||")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "a" if i < 1100 else "b") for i in range(1101)], "doc_id long, domain string")
+    told = mixing.rates(df, labels, {"a": 0.88, "b": 0.02, "never": 0.1}, with_totals=True).toPandas()
+    total = told.n_tokens.sum()
+    assert (told.p_b * told.n_tokens).sum() / total < 0.02 / 20
+    for name, share in (("a", 0.88 / 0.9), ("b", 0.02 / 0.9), ("never", 0.0)):
+        reached = (told[f"p_{name}"] * told.n_tokens * told.rate).sum()
+        assert reached == pytest.approx(share * total, rel=1e-3, abs=1e-6)
+        assert told[f"target_{name}"].nunique() == 1 and told[f"target_{name}"][0] == pytest.approx(share * total)
+        assert told[f"reached_{name}"][0] == pytest.approx(reached, rel=1e-6, abs=1e-6)
+    assert mixing.repeated(df, labels.filter("domain = 'a'"), {"a": 0.5, "b": 0.5}).count() == len(rows)

@@ -34,8 +34,6 @@ MARKERS = 16
 MARKER_LETTERS = 5
 MIN_LIFT = 4.0
 STEPS = 60
-# A domain whose documents would have to count more often than this on average is left as it is.
-MAX_RATE = 20.0
 # Steps without a smaller gap after which the best so far is the answer.
 PATIENCE = 12
 TOLERANCE = 1e-6
@@ -104,7 +102,7 @@ def fit(df: DataFrame, labelled: DataFrame, domains: tuple[str, ...], key_col: s
     """A model from rows of ``df`` that ``labelled`` (key, domain) knows, and the binned features of all rows.
 
     Features are computed once and written. Rows without a null in key and domain teach; a key labelled twice counts by
-    its least domain. Without any such row all posteriors are equal.
+    its least domain. A domain that no such row has is given no posterior; without any such row all posteriors are equal.
     """
     spark = df.sparkSession
     known = labelled.select(F.col(f"`{key_col}`").alias("key"), "domain").filter("key is not null")
@@ -123,7 +121,8 @@ def fit(df: DataFrame, labelled: DataFrame, domains: tuple[str, ...], key_col: s
     names = [n for n in described if n != "tokens"]
     cells = rows.filter("key is not null").join(known, "key").groupBy("domain", *names).agg(F.count("*").alias("n")).collect()
     size = {d: sum(c.n for c in cells if c.domain == d) for d in domains}
-    prior = tuple(math.log((size[d] + 1) / (sum(size.values()) + len(domains))) for d in domains)
+    taught = any(size.values())
+    prior = tuple(math.log((size[d] + 1) / (sum(size.values()) + len(domains))) if size[d] or not taught else -math.inf for d in domains)
     bins = {}
     for name in names:
         width = BINS.get(name, 2)
@@ -186,14 +185,9 @@ def solve(cells: DataFrame, weights: Mapping[int, float], domains: int, keep_all
     have, gram = measured(F.lit(lowest + 1))
     have = [x / (lowest + 1) for x in have]
     total = sum(have)
-    wanted = [k for k in range(domains) if weights.get(k, 0) > 0 and have[k] > 0]
-    # A domain that hardly anything belongs to would take rates without bound; it keeps what it has.
-    live = [k for k in wanted if have[k] * MAX_RATE >= weights[k] * total]
+    live = [k for k in range(domains) if weights.get(k, 0) > 0 and have[k] > 0]
     share = sum(weights[k] for k in live)
-    targets = [have[k] if k in wanted else 0.0 for k in range(domains)]
-    rest = total - sum(have[k] for k in wanted if k not in live)
-    for k in live:
-        targets[k] = weights[k] / share * rest
+    targets = [weights[k] / share * total if k in live else 0.0 for k in range(domains)]
     if keep_all and live:
         grow = max(1.0, *[have[k] / targets[k] for k in live])
         targets = [t * grow for t in targets]
@@ -217,9 +211,13 @@ def solve(cells: DataFrame, weights: Mapping[int, float], domains: int, keep_all
 
 @dataclass(frozen=True)
 class Mix:
+    """The fit; ``targets`` and ``reached`` are expected tokens of each domain, which differ where no rates meet the targets."""
+
     model: Model
     steps: list[list[float]]
     lowest: float
+    targets: list[float]
+    reached: list[float]
 
 
 def mix(
@@ -233,8 +231,8 @@ def mix(
     """The fitted rates as a function of a row's features, and the features of all rows (key first).
 
     ``weights`` are the shares of tokens that the domains are to have. The tokens of all are kept, or with ``keep_all``
-    multiplied until no domain has to shrink, and no rate is below 1. A domain of weight 0 or without a MAX_RATE-th of its expected tokens is
-    left out and the others share its weight. Null texts are empty and have no tokens; their rate follows from their
+    multiplied until no domain has to shrink, and no rate is below 1. A domain of weight 0 or without expected tokens, such
+    as one without labelled documents, is left out and the others share its weight. Null texts are empty and have no tokens; their rate follows from their
     posterior like any other.
     """
     domains = tuple(weights)
@@ -242,19 +240,36 @@ def mix(
     cells = rows.groupBy(*model.bins).agg(F.sum("tokens").cast("double").alias("tokens")).select(posteriors(model).alias("p"), "tokens")
     path = new_dir(df.sparkSession, "cells")
     cells.write.parquet(path)
-    steps, _, _ = solve(df.sparkSession.read.parquet(path), {k: weights[d] for k, d in enumerate(domains)}, len(domains), keep_all)
-    return Mix(model, steps, float(keep_all)), rows
+    steps, targets, reached = solve(df.sparkSession.read.parquet(path), {k: weights[d] for k, d in enumerate(domains)}, len(domains), keep_all)
+    return Mix(model, steps, float(keep_all), targets, reached), rows
 
 
 def _told(found: Mix, rows: DataFrame) -> DataFrame:
     return rows.withColumn("p", posteriors(found.model)).withColumn("rate", _rate(found.steps, F.col("p"), found.lowest))
 
 
-def rates(df: DataFrame, labelled: DataFrame, weights: Mapping[str, float], key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: key, n_tokens, a posterior ``p_<domain>`` per domain, and ``rate``; see ``mix``."""
+def rates(
+    df: DataFrame,
+    labelled: DataFrame,
+    weights: Mapping[str, float],
+    key_col: str = "doc_id",
+    text_col: str = "text",
+    with_totals: bool = False,
+) -> DataFrame:
+    """One row per row: key, n_tokens, a posterior ``p_<domain>`` per domain, and ``rate``; see ``mix``.
+
+    ``with_totals`` adds, the same in all rows, ``target_<domain>`` and ``reached_<domain>``, the tokens that the domain was to
+    have and the expected tokens that it has at these rates.
+    """
     found, rows = mix(df, labelled, weights, key_col, text_col)
     shares = [F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(found.model.domains)]
-    return _told(found, rows).select(F.col("key").alias(key_col), F.col("tokens").alias("n_tokens"), *shares, "rate")
+    totals = [
+        F.lit(float(x)).alias(f"{name}_{d}")
+        for name, of in (("target", found.targets), ("reached", found.reached))
+        for d, x in zip(found.model.domains, of)
+    ]
+    totals = totals if with_totals else []
+    return _told(found, rows).select(F.col("key").alias(key_col), F.col("tokens").alias("n_tokens"), *shares, "rate", *totals)
 
 
 def repeated(df: DataFrame, labelled: DataFrame, weights: Mapping[str, float], key_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -52,7 +52,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.rates(table(spark, sf_dir, "documents"), labelled(spark, sf_dir), TARGETS)
+    return mixing.rates(table(spark, sf_dir, "documents"), labelled(spark, sf_dir), TARGETS, with_totals=True)
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
