@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bagminhash, language, line_quality, mixing, pieces, pii, secrets, topk, toxicity, warc
+from tierline.llm import bagminhash, fim, language, line_quality, mixing, pieces, pii, secrets, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +88,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -99,10 +103,12 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_warc": op9_warc,
     "op10_line_quality": op10_line_quality,
+    "op11_fim": op11_fim,
 }
 
 ORACLES: dict[str, str] = {
     "op5_topk": topk.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     "op10_line_quality": line_quality.ORACLE_SQL,
+    "op11_fim": fim.ORACLE_SQL,
 }
