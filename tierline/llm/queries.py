@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bagminhash, fim, language, line_quality, mixing, pieces, pii, secrets, topk, toxicity, warc
+from tierline.llm import bagminhash, fim, language, line_quality, mixing, pieces, pii, secrets, simhash, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,11 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = simhash.components(table(spark, sf_dir, "documents"))
+    return told.select(F.col("key").alias("doc_id"), simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -104,6 +109,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_line_quality": op10_line_quality,
     "op11_fim": op11_fim,
+    "op12_simhash": op12_simhash,
 }
 
 ORACLES: dict[str, str] = {
