@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bagminhash, fim, language, line_quality, mixing, pieces, pii, secrets, simhash, topk, toxicity, warc
+from tierline.llm import bagminhash, fim, language, line_quality, mixing, negatives, pieces, pii, secrets, simhash, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +97,12 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.col("key").alias("doc_id"), simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -110,6 +116,7 @@ QUERIES = {
     "op10_line_quality": op10_line_quality,
     "op11_fim": op11_fim,
     "op12_simhash": op12_simhash,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -117,4 +124,5 @@ ORACLES: dict[str, str] = {
     "op9_warc": warc.ORACLE_SQL,
     "op10_line_quality": line_quality.ORACLE_SQL,
     "op11_fim": fim.ORACLE_SQL,
+    "op13_negatives": negatives.ORACLE_SQL,
 }
