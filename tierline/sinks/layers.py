@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,3 +88,19 @@ def land_documents(df: DataFrame, document: str, path: str) -> None:
     """Response documents, one per line, from a struct or array column."""
     text = F.to_json(F.col(quoted(document)), {"ignoreNullFields": "false"})
     df.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
+def land_array(df: DataFrame, path: str) -> None:
+    """A batch as array documents, one for every task that writes; nulls included as such."""
+    text = F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]), {"ignoreNullFields": "false"})
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            records = batch.column("value").to_pylist()
+            if records:
+                yield pa.RecordBatch.from_arrays([pa.array([(before if not k else ",") + r for k, r in enumerate(records)])], ["value"])
+                before = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], ["value"])
+
+    df.select(text.alias("value")).mapInArrow(lines, "value string").write.mode("overwrite").text(path)

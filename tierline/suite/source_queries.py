@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators.joins import Dimension, concat, star_join
 from tierline.sinks import layers
-from tierline.sources import envelopes, files
+from tierline.sources import arrays, envelopes, files
 from tierline.suite.registry import query, table
 from tierline.workspace import new_dir
 
@@ -30,6 +30,15 @@ def json_landing(spark, sf_dir):
     return files.read_json(spark, path, docs.schema)
 
 
+@query("SRC1 SNK13", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def json_array_split(spark, sf_dir):
+    """Documents landed as arrays, one file each, and cut by byte ranges."""
+    path = new_dir(spark, "documents-arrays")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    layers.land_array(docs, path)
+    return arrays.read_json_array(spark, path, docs.schema)
+
+
 @query("SRC2", "SELECT p_partkey, p_brand, p_type, p_size FROM part")
 def csv_scan(spark, sf_dir):
     path = new_dir(spark, "parts-csv")

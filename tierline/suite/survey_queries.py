@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierline.functions import survey as rules
-from tierline.operators import reports
+from tierline.operators import effective, reports
 from tierline.suite import inputs
 from tierline.suite.inputs import with_clean, with_kpis
-from tierline.suite.registry import query
+from tierline.suite.registry import query, table
 
 _PCT = "CAST(round(avg(CAST({0} AS DOUBLE)) * 100, 1) AS DOUBLE) AS pct_{1}"
 _SUM = "CAST(sum({0}) AS BIGINT) AS n_{1}"
@@ -137,3 +138,33 @@ def kpi_cases(spark, sf_dir):
 @query("DER24 PRJ19", _kpis("ip", "basic_info_county"))
 def kpi_partner(spark, sf_dir):
     return inputs.curated(spark, sf_dir).select("_id", "ip", "basic_info_county")
+
+
+@query("DER3 DER24", _kpis("managed_county", "ip"))
+def rules_by_date(spark, sf_dir):
+    """The managed flag and the partner from a rule table with first and last days."""
+    surveys = inputs.curated(spark, sf_dir).drop("managed_county", "ip")
+    rules = effective.survey_rules(spark, inputs.RULES)
+    return effective.by_survey_rules(surveys, rules).select("_id", "managed_county", "ip")
+
+
+@query(
+    "DER3",
+    """WITH days AS (
+      SELECT o_custkey, CAST(o_orderdate AS DATE) AS since, max(o_totalprice) AS price FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+    ), rules AS (
+      SELECT *, lead(since) OVER (PARTITION BY o_custkey ORDER BY since) AS until FROM days
+    )
+    SELECT o_orderkey, o.o_custkey, price AS price_in_force FROM orders o LEFT JOIN rules r
+      ON r.o_custkey = CASE WHEN o_orderkey % 3 = 0 THEN o.o_custkey + 1 ELSE o.o_custkey END
+      AND CAST(o_orderdate AS DATE) + 30 >= since AND (until IS NULL OR CAST(o_orderdate AS DATE) + 30 < until)""",
+)
+def rules_from_history(spark, sf_dir):
+    """A rule table as large as the facts: the price each customer had in force, from one order day to the next."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    days = orders.groupBy(F.col("o_custkey").alias("key"), day.alias("valid_from")).agg(F.max("o_totalprice").alias("price"))
+    rules = days.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy("key").orderBy("valid_from")))
+    asked = orders.withColumn("of", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+    told = effective.in_force(asked, rules, "of", F.date_add(day, 30), {"price_in_force": "price"})
+    return told.select("o_orderkey", "o_custkey", "price_in_force")
