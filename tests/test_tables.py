@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators.joins import concat, new_columns
+from tierline.plans.load import load
 from tierline.sinks import layers, tables
 from tierline.sinks.tables import ConcurrentCommit, SnapshotTable, merged, misfits
 
@@ -133,6 +134,61 @@ def test_a_merge_that_dies_before_its_commit_can_be_replayed(spark, rows, tmp_pa
     assert table.has_commit("tag") and rows(table.read(), "id", "v") == [(n, "new" if n < 3 else "old") for n in range(6)]
 
 
+@pytest.mark.parametrize("left", ["", '{"version": 2, "tag": null, "folders": ["data/x"', None])
+def test_a_writer_that_died_in_its_commit_blocks_nobody(spark, rows, tmp_path, monkeypatch, left):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([(1, "a")], "k int, v string"))
+    if left is None:  # died between the file and its name
+        with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+            patch.setattr(SnapshotTable, "_renamed", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+            table.append(spark.createDataFrame([(9, "z")], "k int, v string"), tag="s#4")
+    else:  # as an older writer may have left it
+        (tmp_path / "t" / "commits" / "000000000002.json").write_text(left)
+    assert table.version() == 1 and rows(table.read()) == [(1, "a")] and not table.has_commit("s#4")
+    table.append(spark.createDataFrame([(2, "b")], "k int, v string"), tag="s#4")
+    table.merge(spark.createDataFrame([(1, "c")], "k int, v string"), ["k"])
+    assert rows(table.read()) == [(1, "c"), (2, "b")] and table.has_commit("s#4") and table.has_commit("s#3") and not table.has_commit("s#5")
+
+
+def test_a_name_is_given_once(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.range(1))
+    stale = table._current()
+    table.append(spark.range(1))
+    with pytest.raises(ConcurrentCommit):
+        table._commit(stale, [], table.schema(), None)
+    files, log = table._log()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    first, second = (files.makeQualified(path(log, f"00000000000{n}.json")) for n in (1, 2))
+    before = (tmp_path / "t" / "commits" / "000000000002.json").read_text()
+    with pytest.raises(Exception, match="exists"):
+        table._renamed(first, second)
+    assert (tmp_path / "t" / "commits" / "000000000002.json").read_text() == before
+
+
+def test_stores_without_a_safe_rename_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(tables, "SAFE_SCHEMES", ("hdfs",))
+    with pytest.raises(ValueError, match="one_writer"):
+        SnapshotTable(spark, "file:/tmp/none")
+    SnapshotTable(spark, "file:/tmp/none", one_writer=True)
+
+
+def test_readers_never_see_a_batch_that_fails_its_checks(spark, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([(1, "a")], "k int, v string"))
+    checks = [{"type": "null_check", "columns": ["v"]}]
+    bad, good = ([(1, None), (2, "b")], [(1, "b"), (2, "b")])
+    for of_batch, of_table in ((checks, []), ([], checks)):
+        with pytest.raises(tables.Rejected) as failed:
+            load(table, spark.createDataFrame(bad, "k int, v string"), ["k"], tag="run/7", checks=of_table, batch_checks=of_batch)
+        assert rows(table.read()) == [(1, "a")] and table.version() == 1 and not table.has_commit("run/7")
+        assert rows(table.rejected(failed.value.tag)) == sorted(bad, key=repr)
+    done = load(table, spark.createDataFrame(good, "k int, v string"), ["k"], tag="run/7", checks=checks, batch_checks=checks)
+    assert done.rows == 2 and done.verdict == "passed" and table.has_commit("run/7") and rows(table.read()) == good
+    with pytest.raises(ValueError, match="tag"):
+        load(table, spark.createDataFrame(good, "k int, v string"), ["k"], batch_checks=checks)
+
+
 def test_a_batch_is_computed_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 

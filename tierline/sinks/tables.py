@@ -1,23 +1,27 @@
 """Keyed warehouse tables on plain Parquet.
 
 Every commit names the data folders the table now consists of. A load writes new
-folders and then one commit file, which is created only if that version does not
-exist yet, so readers see the old or the new state, nothing is overwritten, and a
-load that dies before its commit leaves the table as it was.
-
-A load may be dealt to parts: by the values of columns that are in every key
-(``partition_by``, such as the period), or by a hash of the merge key
-(``bucket_by``). A merge then reads and rewrites only the parts its batch has
-rows for; without parts it rewrites the folders that hold an arriving key. A
-replace by its own rows compacts. With a table format on the cluster the same
-loads are ``MERGE INTO`` and ``INSERT`` statements.
+folders and then one commit file, whole under a name of its own, which is then
+renamed to the next version unless that exists. So readers see the old or the
+new state, nothing is overwritten, and a load that dies at any point leaves the
+table as it was. That rests on a rename that one of two writers loses, which
+HDFS and local disks have; for stores that have none, a table must be opened
+with ``one_writer``, and the caller sees to it that there is only one.
+
+A load may be dealt to parts: by columns that are in every key (``partition_by``,
+such as the period, whose values are hashed to a bounded number of folders), or
+by a hash of the merge key (``bucket_by``). A merge then reads and rewrites only
+the parts its batch has rows for; without parts it rewrites the folders that
+hold an arriving key. A replace by its own rows compacts. With a table format on
+the cluster the same loads are ``MERGE INTO`` and ``INSERT`` statements.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,13 +34,25 @@ from tierline.sinks.layers import clustered
 from tierline.workspace import new_dir
 
 PART = "_part"
-COMMIT_SCHEMA = "version long, tag string, folders array<string>, table_schema string"
+# Folders that the values of ``partition_by`` are hashed to, unless the table says otherwise.
+PARTS = 256
+COMMIT_SCHEMA = "version long, tag string, folders array<string>, table_schema string, streams map<string,long>"
+# File systems whose rename fails, for one of two writers, where the target exists.
+SAFE_SCHEMES = ("file", "hdfs", "viewfs")
 
 
 class ConcurrentCommit(RuntimeError):
     """Another writer committed after this one had looked at the table."""
 
 
+class Rejected(RuntimeError):
+    """A batch did not pass the checks before its commit; ``tag`` reads it."""
+
+    def __init__(self, tag: str, reason: Exception) -> None:
+        super().__init__(f"batch {tag} was not published: {reason}")
+        self.tag = tag
+
+
 def grown_schema(existing: T.StructType, incoming: T.StructType) -> T.StructType:
     """Existing columns, never retyped, then the new ones."""
     return T.StructType([*existing, *[T.StructField(f.name, f.dataType) for f in new_columns(incoming, existing)]])
@@ -125,8 +141,8 @@ def _schema_of(commit) -> T.StructType:
 class SnapshotTable:
     """A table at a path; see the module text for the layout.
 
-    ``partition_by`` or ``bucket_by`` with ``buckets`` must be the same for every
-    writer of a table. Keys of one bucketed table are merged by ``bucket_by``.
+    ``partition_by`` (into ``parts`` folders) or ``bucket_by`` with ``buckets`` must be the same
+    for every writer of a table. Keys of one bucketed table are merged by ``bucket_by``.
     """
 
     def __init__(
@@ -137,6 +153,8 @@ class SnapshotTable:
         partition_by: Sequence[str] = (),
         bucket_by: Sequence[str] = (),
         buckets: int = 0,
+        parts: int = PARTS,
+        one_writer: bool = False,
     ):
         if partition_by and bucket_by or bool(bucket_by) != bool(buckets):
             raise ValueError("a table has partitions, or buckets and their number, or neither")
@@ -144,7 +162,11 @@ class SnapshotTable:
         self.path = path.rstrip("/")
         self.sort_keys = tuple(sort_keys)
         self.part_columns = tuple(partition_by or bucket_by)
-        self.buckets = buckets
+        self.buckets = buckets or parts
+        files, log = self._log()
+        scheme = files.makeQualified(log).toUri().getScheme()
+        if not one_writer and scheme not in SAFE_SCHEMES:
+            raise ValueError(f"{scheme} has no rename that keeps writers apart; open the table with one_writer")
 
     # -- reading
 
@@ -152,14 +174,24 @@ class SnapshotTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _current(self):
-        """The last commit; one file is read, whatever the number of commits."""
+    def _versions(self) -> list[int]:
+        """The numbers of all commit files, whatever they hold."""
         files, path = self._log()
         names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
-        for name in sorted((n for n in names if n.endswith(".json")), reverse=True):
-            found = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits/{name}").filter("version is not null").first()
-            if found is not None:
-                return found
+        return sorted(int(n.removesuffix(".json")) for n in names if re.fullmatch(r"[0-9]{12}\.json", n))
+
+    def _commit_of(self, version: int):
+        """What a commit says; None for a file that an older writer left empty or torn."""
+        path = f"{self.path}/commits/{version:012d}.json"
+        return self.spark.read.schema(COMMIT_SCHEMA).json(path).filter("version is not null and table_schema is not null").first()
+
+    def _current(self, until: int | None = None):
+        """The last commit (up to a version); one file is read, whatever the number of commits."""
+        for version in reversed(self._versions()):
+            if until is None or version <= until:
+                found = self._commit_of(version)
+                if found is not None:
+                    return found
         return None
 
     def exists(self) -> bool:
@@ -169,6 +201,11 @@ class SnapshotTable:
         current = self._current()
         return current.version if current else 0
 
+    def tag(self) -> str | None:
+        """The tag of the last load."""
+        current = self._current()
+        return current.tag if current else None
+
     def schema(self) -> T.StructType | None:
         current = self._current()
         return _schema_of(current) if current else None
@@ -180,23 +217,50 @@ class SnapshotTable:
         return self._read(current)
 
     def _read(self, current, folders: Sequence[str] | None = None) -> DataFrame:
-        schema = _schema_of(current)
-        chosen = current.folders if folders is None else folders
+        return self._read_as(_schema_of(current), current.folders if folders is None else folders)
+
+    def _read_as(self, schema: T.StructType, chosen: Sequence[str]) -> DataFrame:
         if not chosen:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in chosen])
 
+    def changes(self, since: int) -> tuple[int, DataFrame, DataFrame]:
+        """The version now, and what rows have gone and come since another one, as (version, gone, come).
+
+        Only the folders that are in one of the two versions and not in the other are read. Rows that were merely written
+        anew, as neighbours of rows that changed, are in both frames, so sums over ``come`` less sums over ``gone`` are exact.
+        """
+        now = self._current()
+        if now is None:
+            raise ValueError(f"no table at {self.path}")
+        then = self._current(since)
+        before, after = (then.folders if then else []), now.folders
+        return now.version, self._read(now, [f for f in before if f not in set(after)]), self._read(now, [f for f in after if f not in set(before)])
+
+    def rejected(self, tag: str) -> DataFrame:
+        """A batch that did not pass its checks."""
+        return self.spark.read.parquet(self._rejected(tag))
+
+    def _rejected(self, tag: str) -> str:
+        return f"{self.path}/rejected/{''.join(c if c.isalnum() or c in '-_.' else f'%{ord(c):02X}' for c in tag)}"
+
     def has_commit(self, tag: str) -> bool:
-        files, path = self._log()
-        if not files.exists(path):
+        """Whether a load of this tag was committed. Of ``<stream>#<number>`` tags the last commit knows the highest."""
+        current = self._current()
+        if current is None:
             return False
+        stream, number = _stream_of(tag)
+        if stream is not None and current.streams is not None:
+            return current.streams.get(stream, -1) >= number
         return not self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits").filter(F.col("tag") == tag).isEmpty()
 
     # -- writing
 
-    def replace(self, df: DataFrame, tag: str | None = None, lossy: bool = False) -> None:
-        """The table holds exactly these rows; columns it had before remain."""
+    def replace(self, df: DataFrame, tag: str | None = None, lossy: bool = False, expected: int | None = None) -> None:
+        """The table holds exactly these rows; columns it had before remain. They may be made for one ``expected`` version only."""
         current = self._current()
+        if expected is not None and (current.version if current else 0) != expected:
+            raise ConcurrentCommit(f"{self.path} is past version {expected}")
         schema = self._schema_for(df, current)
         self._commit(current, self._write(aligned(df, schema, lossy)), schema, tag)
 
@@ -206,32 +270,49 @@ class SnapshotTable:
         before = list(current.folders) if current else []
         self._commit(current, [*before, *self._write(aligned(df, schema, lossy))], schema, tag)
 
-    def merge(self, df: DataFrame, keys: Sequence[str], tag: str | None = None, lossy: bool = False) -> None:
+    def merge(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        tag: str | None = None,
+        lossy: bool = False,
+        check: Callable[[DataFrame, DataFrame], None] | None = None,
+    ) -> None:
         """See ``merged``. The batch is staged once, in the table's types, so what it is computed from is read once.
 
         A partitioned or bucketed table rewrites the parts the batch has rows
         for; the other table the folders that hold an arriving key, which a scan
         of the key columns finds. A batch of new keys is an append there.
+
+        ``check`` sees the batch and the table as it would be, and raises if they may not be published. Then the table
+        stays as it is, and the batch can be read by its tag.
         """
+        if check is not None and tag is None:
+            raise ValueError("a load that may be rejected needs a tag")
         current = self._current()
         if not keys:
             raise ValueError("a merge needs key columns")
         if self.part_columns and not {c.lower() for c in self.part_columns} <= {k.lower() for k in keys}:
             raise ValueError("the columns of partitions or buckets must be part of the merge key")
         schema = self._schema_for(df, current)
-        path = new_dir(self.spark, "staging")
-        aligned(df, schema, lossy, keys).write.parquet(path)
+        path = new_dir(self.spark, "staging") if check is None else self._rejected(tag)
+        aligned(df, schema, lossy, keys).write.mode("overwrite").parquet(path)
         staging = self.spark.read.schema(schema).parquet(path)
         folders = list(current.folders) if current else []
         touched = self._touched(current, folders, staging, keys) if folders else []
         others = [f for f in folders if f not in touched]
         rows = merged(self._read(current, touched), staging, keys) if touched else staging
-        self._commit(current, [*others, *self._write(rows)], schema, tag)
+        written = [*others, *self._write(rows)]
+        if check is not None:
+            try:
+                check(staging, self._read_as(schema, written))
+            except Exception as reason:
+                raise Rejected(tag, reason) from reason
+        self._commit(current, written, schema, tag)
 
     def _part(self) -> Column:
         """The part of a row: a hash, so that any value, null too, is a folder name."""
-        own = F.xxhash64(*[F.col(quoted(c)) for c in self.part_columns])
-        return F.pmod(own, F.lit(self.buckets)) if self.buckets else own
+        return F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in self.part_columns]), F.lit(self.buckets))
 
     def _touched(self, current, folders: list[str], staging: DataFrame, keys: Sequence[str]) -> list[str]:
         if self.part_columns:
@@ -276,19 +357,43 @@ class SnapshotTable:
         return sorted(f"{folder}/{n}" for n in names if n.startswith(f"{PART}="))
 
     def _commit(self, seen, folders: list[str], schema: T.StructType, tag: str | None) -> None:
-        """Creates the next commit file; another writer that was faster has created it before."""
-        version = (seen.version if seen else 0) + 1
+        """Publishes the next version, unless another writer has committed since this one looked."""
+        versions = self._versions()
+        known = seen.version if seen else 0
+        if any(v > known and self._commit_of(v) is not None for v in versions):
+            raise ConcurrentCommit(f"{self.path} is past version {known}")
+        version = max([known, *versions]) + 1
+        streams = dict(seen.streams or {}) if seen else {}
+        stream, number = _stream_of(tag)
+        if stream is not None:
+            streams[stream] = max(number, streams.get(stream, -1))
+        # An older table's commits do not say what its streams have done; has_commit then looks into all of them.
+        told = None if seen and seen.streams is None else streams
+        text = json.dumps({"version": version, "tag": tag, "folders": folders, "table_schema": schema.json(), "streams": told})
         files, path = self._log()
-        name = self.spark._jvm.org.apache.hadoop.fs.Path(path, f"{version:012d}.json")
-        text = json.dumps({"version": version, "tag": tag, "folders": folders, "table_schema": schema.json()})
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        whole, name = fs.Path(path, f"_{uuid.uuid4().hex}"), fs.Path(path, f"{version:012d}.json")
+        out = files.create(whole, False)
+        out.write(bytearray(text.encode()))
+        out.close()
         try:
-            out = files.create(name, False)
+            self._renamed(files.makeQualified(whole), files.makeQualified(name))
         except Py4JJavaError as error:
             if files.exists(name):
                 raise ConcurrentCommit(f"{self.path} is past version {version - 1}") from error
             raise
-        out.write(bytearray(text.encode()))
-        out.close()
+
+    def _renamed(self, source, target) -> None:
+        """A rename that fails where the target exists."""
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(source, target, self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+
+
+def _stream_of(tag: str | None) -> tuple[str | None, int]:
+    """The stream and number of a tag of a numbered batch."""
+    stream, mark, number = (tag or "").rpartition("#")
+    return (stream, int(number)) if mark and number.isdecimal() else (None, -1)
 
 
 def load_dimension(

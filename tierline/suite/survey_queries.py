@@ -6,10 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierline.functions import survey as rules
-from tierline.operators import effective, reports
+from tierline.operators import effective, maintained, reports
+from tierline.sinks.tables import SnapshotTable
 from tierline.suite import inputs
 from tierline.suite.inputs import with_clean, with_kpis
-from tierline.suite.registry import query, table
+from tierline.suite.registry import ENTRIES, query, table
+from tierline.workspace import new_dir
 
 _PCT = "CAST(round(avg(CAST({0} AS DOUBLE)) * 100, 1) AS DOUBLE) AS pct_{1}"
 _SUM = "CAST(sum({0}) AS BIGINT) AS n_{1}"
@@ -56,6 +58,30 @@ def kpi_cy_month_report(spark, sf_dir):
     return reports.calendar_month_report(inputs.curated(spark, sf_dir))
 
 
+def _in_batches(spark, sf_dir, report):
+    """Surveys in three loads, the last of which corrects those of the first; the report follows each."""
+    curated = inputs.curated(spark, sf_dir)
+    early = curated.withColumns({"managed_county": 1 - F.col("managed_county"), "correct_ontime": F.lit(1), "two_plusvisits": F.lit(None).cast("int")})
+    facts = SnapshotTable(spark, new_dir(spark, "surveys"), partition_by=["cy_year", "cy_month"])
+    kept = maintained.MaintainedReport(facts, new_dir(spark, "report"), report)
+    for batch in (early.filter("_id % 2 = 0"), curated.filter("_id % 2 <> 0"), curated.filter("_id % 2 = 0")):
+        facts.merge(batch, ["cy_year", "cy_month", "_id"])
+        kept.refresh()
+    return kept.read()
+
+
+@query("AGG1 SNK5", ENTRIES["kpi_fyq_report"].sql)
+def kpi_fyq_incremental(spark, sf_dir):
+    """The fiscal-quarter report from the changes of three loads."""
+    return _in_batches(spark, sf_dir, maintained.fiscal_quarter())
+
+
+@query("AGG2 SNK5", ENTRIES["kpi_cy_month_report"].sql)
+def kpi_cy_month_incremental(spark, sf_dir):
+    """The calendar-month report from the changes of three loads."""
+    return _in_batches(spark, sf_dir, maintained.calendar_month())
+
+
 @query(
     "PRJ21 DER25 DER26",
     with_kpis(f"SELECT {', '.join(reports.RECORD_COLUMNS)}, fy_year_quarter, has_chc FROM kpi_v"),
