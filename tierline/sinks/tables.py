@@ -301,7 +301,7 @@ class SnapshotTable:
         folders = list(current.folders) if current else []
         touched = self._touched(current, folders, staging, keys) if folders else []
         others = [f for f in folders if f not in touched]
-        rows = merged(self._read(current, touched), staging, keys) if touched else staging
+        rows = self._merged(current, touched, staging, keys) if touched else staging
         written = [*others, *self._write(rows)]
         if check is not None:
             try:
@@ -310,6 +310,9 @@ class SnapshotTable:
                 raise Rejected(tag, reason) from reason
         self._commit(current, written, schema, tag)
 
+    def _merged(self, current, touched: list[str], staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return merged(self._read(current, touched), staging, keys)
+
     def _part(self) -> Column:
         """The part of a row: a hash, so that any value, null too, is a folder name."""
         return F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in self.part_columns]), F.lit(self.buckets))

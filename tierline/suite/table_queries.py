@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.operators.joins import new_columns, without_matches
+from tierline.operators.joins import Dimension, new_columns, star_join, without_matches
+from tierline.plans.load import load
 from tierline.sinks import layers
-from tierline.sinks.tables import SnapshotTable, load_dimension, misfits
+from tierline.sinks.distributed import DistributedTable
+from tierline.sinks.tables import Rejected, SnapshotTable, load_dimension, misfits
 from tierline.sources import files
 from tierline.sources.envelopes import dimension_records
 from tierline.suite.registry import query, table
@@ -209,6 +211,55 @@ def dimension_load(spark, sf_dir):
     return units.read()
 
 
+@query(
+    "SNK9 SNK5 JOIN2",
+    f"SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders t WHERE {_KEPT} UNION ALL {_STAGING_SQL}",
+)
+def merge_colocated(spark, sf_dir):
+    """A merge in which the rows of the table stay in their buckets."""
+    orders = DistributedTable(spark, new_dir(spark, "orders-by-key"), ["o_orderkey"], 16)
+    orders.replace(_target(spark, sf_dir))
+    orders.merge(_staging(spark, sf_dir))
+    return orders.read()
+
+
+@query(
+    "SNK9 JOIN1",
+    """SELECT l_orderkey, l_linenumber, l_quantity, o_orderstatus, o_totalprice, p_brand, s_name FROM lineitem
+    LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderkey % 5 <> 0
+    LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey""",
+)
+def star_colocated(spark, sf_dir):
+    """Lines and orders distributed by the order key: the large dimension is joined bucket by bucket, small ones are sent."""
+    lines = DistributedTable(spark, new_dir(spark, "lines-by-order"), ["l_orderkey"], 16, ["l_shipdate"])
+    lines.replace(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate"))
+    orders = DistributedTable(spark, new_dir(spark, "orders-by-key"), ["o_orderkey"], 16)
+    orders.replace(_target(spark, sf_dir).filter("o_orderkey % 5 <> 0"))
+    wide = star_join(
+        lines.read(),
+        [
+            Dimension(orders.read(), "l_orderkey", "o_orderkey", {"o_orderstatus": "o_orderstatus", "o_totalprice": "o_totalprice"}),
+            Dimension(table(spark, sf_dir, "part"), "l_partkey", "p_partkey", {"p_brand": "p_brand"}),
+            Dimension(table(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey", {"s_name": "s_name"}),
+        ],
+    )
+    return wide.drop("l_partkey", "l_suppkey", "l_shipdate")
+
+
+@query("DQ4 SNK5", f"SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders t WHERE {_KEPT} UNION ALL {_STAGING_SQL}")
+def load_checked(spark, sf_dir):
+    """A batch with nulls is not published, the same batch without them is."""
+    orders = SnapshotTable(spark, new_dir(spark, "checked"), bucket_by=["o_orderkey"], buckets=8)
+    checks = [{"type": "null_check", "columns": ["o_orderstatus"]}, {"type": "row_count_min", "threshold": 1}]
+    load(orders, _target(spark, sf_dir), ["o_orderkey"], tag="first", batch_checks=checks)
+    status = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderstatus")).alias("o_orderstatus")
+    try:
+        load(orders, _staging(spark, sf_dir).select("o_orderkey", "o_totalprice", status), ["o_orderkey"], tag="second", batch_checks=checks)
+    except Rejected:
+        load(orders, _staging(spark, sf_dir), ["o_orderkey"], tag="second", batch_checks=checks, checks=checks)
+    return orders.read()
+
+
 @query("SNK9", "SELECT l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def clustered_write(spark, sf_dir):
     path = new_dir(spark, "lineitem-clustered")
