@@ -143,3 +143,10 @@ def test_the_library_stays_within_its_rules():
     text = "\n".join(p.read_text() for p in package.rglob("*.py") if "llm" not in p.parts)
     for forbidden in ("localCheckpoint", "crossJoin", "broadcast(", ".rdd", "pandas_udf", "@udf", "toPandas", "collect_list", "collect_set"):
         assert forbidden not in text, forbidden
+
+
+def test_upsert_splits_a_hot_key(spark, shuffled_joins):
+    old = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    new = spark.range(0, 60_000, 2).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    result = joins.upsert(old, new, ["k"], ["v"], {})
+    assert "skew=true" in final(result) and "FullOuter" not in final(result)

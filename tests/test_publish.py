@@ -142,3 +142,13 @@ def test_publish_job(spark, rows, tmp_path):
         assert tuple(publish_monthly(report, _targets(spark), updates, "bot@x", F.lit("t"))) == (3, 5)
     assert rows(updates.read(), "okrId", "numerator", "value") == [("def-a", 30, 75.0), ("def-c", None, None), ("def-d", 8, 20.0)]
     assert publish_monthly(report.limit(0), _targets(spark), updates, "bot@x", F.lit("t")) is None
+
+
+def test_upsert_of_null_and_repeated_keys(spark, rows):
+    existing = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 3, "n"), ("b", 4, "z")], "k string, v int, kept string")
+    incoming = spark.createDataFrame([("a", 10), (None, 11), ("c", None)], "k string, v int")
+    got = joins.upsert(existing, incoming, ["k"], ["v"], {"kept": F.concat(F.lit("seed "), F.coalesce("new.k", F.lit("?")))})
+    assert got.schema.simpleString() == existing.schema.simpleString()
+    assert rows(got) == sorted(
+        [("a", 10, "x"), ("a", 10, "y"), (None, 3, "n"), ("b", 4, "z"), (None, 11, "seed ?"), ("c", None, "seed c")], key=repr
+    )

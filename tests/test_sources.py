@@ -199,3 +199,18 @@ def test_union_of_run_schemas(spark, tmp_path, rows):
 
 def test_a_folder_nobody_wrote(spark, tmp_path):
     assert files.read_if_exists(spark, str(tmp_path / "no"), "a int").isEmpty()
+
+
+def test_headers_are_read_without_the_rest_of_the_files(spark, rows, tmp_path):
+    """Files of two layouts in latin-1; what is read of them does not depend on their size."""
+    small = _write(tmp_path / "d", "a.csv", "clé;name\n1;é\n", encoding="latin-1")
+    (tmp_path / "d" / "sub").mkdir()
+    _write(tmp_path / "d" / "sub", "b.CSV", "größe;clé\r\n" + "ü;2\r\n" * 2_000_000, encoding="latin-1")
+    _write(tmp_path / "d", "c.csv", "", encoding="latin-1")
+    lines = {r.path.rpartition("/")[2]: bytes(r.line) for r in files._first_lines(spark, str(tmp_path / "d")).collect()}
+    assert lines == {"a.csv": "clé;name".encode("latin-1"), "b.CSV": "größe;clé".encode("latin-1")}
+    assert files._first_lines(spark, str(tmp_path / "d")).rdd.getNumPartitions() >= 2
+    df = files.pick_up_csv(spark, str(tmp_path / "d"), sep=";", encoding="latin-1", mixed_headers=True, multi_line=False)
+    assert df.groupBy("clé", "name", "größe").count().count() == 2 and df.count() == 2_000_001
+    assert rows(df.filter("name is not null"), "clé", "name") == [("1", "é")]
+    assert small.exists()

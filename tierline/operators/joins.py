@@ -110,20 +110,35 @@ def upsert(
     also when it is null. All others keep the existing value; on a fresh row
     they take their seed, an expression that may name incoming columns as
     ``new.<column>``. ``incoming`` must hold one row per key.
+
+    Existing rows are left-joined, and fresh ones are those without a match, so
+    adaptive execution can split a key that very many existing rows share. Rows
+    with a null in the key match nothing: existing ones stay, incoming ones are
+    fresh. They pass the join beside it, as all of them would meet in one task.
     """
-    old = existing.withColumn("_old", F.lit(True)).alias("old")
-    new = incoming.withColumn("_new", F.lit(True)).alias("new")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"old.{quoted(k)}") == F.col(f"new.{quoted(k)}") for k in keys]
-    )
-    arrived, known = F.col("new._new").isNotNull(), F.col("old._old").isNotNull()
+    complete = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in keys])
+    new = incoming.filter(complete).withColumn("_new", F.lit(True)).alias("new")
+
+    def pairs(old: DataFrame) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"old.{quoted(k)}") == F.col(f"new.{quoted(k)}") for k in keys])
 
-    def column(name: str) -> Column:
+    def updated(name: str) -> Column:
         before = F.col(f"old.{quoted(name)}")
-        if name in keys:
-            return F.coalesce(before, F.col(f"new.{quoted(name)}"))
-        if name in owned:
-            return F.when(arrived, F.col(f"new.{quoted(name)}")).otherwise(before)
-        return F.when(known, before).otherwise(seeds.get(name, F.lit(None)))
+        arrives = name in owned and name not in keys
+        return F.when(F.col("new._new"), F.col(f"new.{quoted(name)}")).otherwise(before) if arrives else before
+
+    def seeded(name: str) -> Column:
+        return F.col(f"new.{quoted(name)}") if name in keys or name in owned else seeds.get(name, F.lit(None))
+
+    old = existing.filter(complete).alias("old")
+    changed = old.join(new, pairs(old), "left").select(*[updated(c).alias(c) for c in existing.columns])
+    # Only keys that arrive: where few do, the existing rows are read, but not shuffled, for this.
+    taken = existing.select(*[F.col(quoted(k)) for k in keys]).alias("old").join(new, pairs(existing), "left_semi").distinct().alias("old")
+    fresh = concat_all(new.join(taken, pairs(taken), "left_anti"), incoming.filter(~complete)).alias("new")
+    rows = [existing.filter(~complete), changed, fresh.select(*[seeded(c).alias(c) for c in existing.columns])]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
 
-    return old.join(new, same_key, "full_outer").select(*[column(c).alias(c) for c in existing.columns])
+def concat_all(*frames: DataFrame) -> DataFrame:
+    """All rows of all frames by name, with the columns of the last."""
+    return reduce(lambda a, b: a.unionByName(b), [f.select(*[F.col(quoted(c)) for c in frames[-1].columns]) for f in frames])

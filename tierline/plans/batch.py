@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import runs, shape
 from tierline.plans import steps
-from tierline.sinks import layers
+from tierline.sinks import layers, ledger
 from tierline.sources.envelopes import explode_results
 from tierline.workspace import new_dir
 
@@ -76,11 +76,12 @@ def curated(batch: DataFrame, run: Run, sql: str | None = None) -> DataFrame:
 
 
 def write_layer(
-    df: DataFrame, root: str, run: Run, audit_path: str, status: str, full: bool = True
+    df: DataFrame, root: str, run: Run, audit_path: str, status: str, full: bool = True, ledger_path: str | None = None
 ) -> str:
     """Writes one run's folder and its audit record; rows are counted on the way.
 
-    A failure is recorded too, with its message, and raised again.
+    A failure is recorded too, with its message, and raised again. With ``ledger_path`` the columns and types of the
+    run are recorded there, for reads over all runs.
     """
     spark: SparkSession = df.sparkSession
     path, finished = run.path(root), run.now or run.ingestion_time
@@ -91,6 +92,8 @@ def write_layer(
         record = runs.audit_row(spark, run.pipeline, run.execution_id, f"{status}_failed", finished, error=str(error))
         record.write.mode("append").json(audit_path)
         raise
+    if ledger_path:
+        ledger.record(spark, ledger_path, run.execution_id, finished, df.schema)
     record = runs.audit_row(
         spark,
         run.pipeline,

@@ -5,9 +5,10 @@ from __future__ import annotations
 import codecs
 import re
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +59,8 @@ def pick_up_csv(
 
     An empty field is an empty string, not null. All files must share one
     header, which is checked; with ``mixed_headers`` files are grouped by their
-    header instead and the groups concatenated by column name, at the price of
-    a first pass over the texts. ``modified_after`` (strict) leaves out what a
+    header instead and the groups concatenated by column name; for that the
+    first line of each file is read, and no more. ``modified_after`` (strict) leaves out what a
     former run has seen. ``file_columns`` adds ``_file`` and ``_modified``.
     Quotes in quoted fields are doubled. A file is read by one task, since a
     field may hold line breaks; without ``multi_line``, for drops known to have
@@ -139,17 +140,7 @@ def _files_by_header(
 
     Brings one line per file to the driver, which lists the files anyway.
     """
-    lines = _drop_folder_reader(spark, modified_after).text(folder).select(
-        F.decode(F.col("value").cast("binary"), str(dialect["encoding"])).alias("line"),
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-    )
-    firsts = (
-        lines.filter("start = 0")
-        .withColumn("at", F.monotonically_increasing_id())
-        .groupBy("path")
-        .agg(F.min_by("line", "at").alias("line"))
-    )
+    firsts = _first_lines(spark, folder, modified_after).select("path", F.decode("line", str(dialect["encoding"])).alias("line"))
     groups: dict[str, list[str]] = defaultdict(list)
     for row in firsts.sort("path").collect():
         groups[row.line].append(unquote(row.path))
@@ -160,6 +151,32 @@ def _files_by_header(
     return result
 
 
+def _first_lines(spark: SparkSession, folder: str, modified_after: str | None = None) -> DataFrame:
+    """(path, line): the bytes of the first line of each file, of which only the beginning is read.
+
+    A session of its own deals each file whole to one task and hands over single lines; the task takes one and stops,
+    which ends its reading wherever the file's buffer is.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", _ANY_SIZE)
+    own.conf.set("spark.sql.files.openCostInBytes", _ANY_SIZE)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = _drop_folder_reader(own, modified_after).text(folder)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    named = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"))
+    return named.mapInArrow(first, "path string, line binary")
+
+
+# Above the size of any file, so that none is cut and no two share a task.
+_ANY_SIZE = str(2**50)
+
+
 def newest_file_time(rows: DataFrame) -> DataFrame:
     """Watermark of a pick-up read with ``file_columns``: one row, null if empty."""
     return rows.agg(F.max("_modified").alias("max_watermark"))

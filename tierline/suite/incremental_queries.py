@@ -7,7 +7,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tierline.operators import incremental as inc
+from tierline.sinks.control import ControlLog
+from tierline.sources import footers
 from tierline.suite.registry import query, table
+from tierline.workspace import new_dir
 
 _BOUND = "2024-01-15 12:00:00"
 
@@ -94,6 +97,38 @@ def table_max_watermark(spark, sf_dir):
     return inc.table_watermark(table(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
+@query("INC6 AGG9 AGG11", "SELECT count(*) AS row_count, min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey FROM lineitem")
+def table_max_from_footers(spark, sf_dir):
+    """Rows and bounds of a table without reading its data."""
+    return footers.extent(spark, f"{sf_dir}/lineitem.parquet", ["l_orderkey"])
+
+
+@query(
+    "INC1 INC2",
+    """SELECT o_orderpriority AS pipeline_name, max(o_orderkey)::VARCHAR AS last_watermark_value, strftime(max(day), '%Y-%m-%d') AS last_successful_run,
+    'run-' || arg_max(o_orderkey, day) AS last_execution_id FROM (
+      SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, max(o_orderkey) AS o_orderkey FROM orders
+      GROUP BY o_orderpriority, CAST(o_orderdate AS DATE) HAVING max(o_orderkey) % 10 <> 0
+      QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE) DESC) = 1
+    ) GROUP BY o_orderpriority""",
+)
+def watermark_log(spark, sf_dir):
+    """A pipeline per priority with a run per day; runs are logged out of order, twice, and some without a value."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    runs = orders.groupBy("o_orderpriority", day.alias("day")).agg(F.max("o_orderkey").alias("top"))
+    rows = runs.select(
+        F.col("o_orderpriority").alias("pipeline_name"),
+        F.when(F.col("top") % 10 != 0, F.col("top").cast("string")).otherwise("").alias("last_watermark_value"),
+        F.col("day").alias("last_successful_run"),
+        F.concat(F.lit("run-"), F.col("top").cast("string")).alias("last_execution_id"),
+    )
+    log = ControlLog(spark, new_dir(spark, "watermarks"))
+    for part in (rows.filter("last_successful_run >= '1995'"), rows.filter("last_successful_run < '1996'"), rows.filter("pipeline_name LIKE '1%'")):
+        log.add(part)
+    return log.state()
+
+
 @query("INC6", "SELECT CAST(NULL AS TIMESTAMP) AS max_watermark FROM lineitem LIMIT 1")
 def table_max_watermark_full(spark, sf_dir):
     return inc.table_watermark(table(spark, sf_dir, "lineitem"), "l_shipdate", mode="full")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierline.functions import fixed_values as fv
-from tierline.operators import reports
+from tierline.operators import joins, reports
 from tierline.sinks import publish
 from tierline.suite import inputs
 from tierline.suite.inputs import with_kpis
@@ -174,3 +174,20 @@ def publish_all_text(spark, sf_dir):
     path = new_dir(spark, "published")
     publish.publish_files(reports.record_report(inputs.curated(spark, sf_dir)).select(*_TEXT_COLUMNS), path)
     return spark.read.parquet(path)
+
+
+@query(
+    "JOIN4",
+    """WITH old AS (
+      SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 <> 0 THEN l_orderkey END AS key, l_quantity AS quantity, 'kept' AS note FROM lineitem
+    ), new AS (SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END AS key, o_totalprice AS quantity FROM orders WHERE o_orderkey % 2 = 1)
+    SELECT old.key, CASE WHEN new.key IS NOT NULL THEN new.quantity ELSE old.quantity END AS quantity, note FROM old LEFT JOIN new ON old.key = new.key
+    UNION ALL SELECT key, quantity, 'fresh' FROM new WHERE key IS NULL OR NOT EXISTS (SELECT 1 FROM old WHERE old.key = new.key)""",
+)
+def upsert_skewed(spark, sf_dir):
+    """A key that a third of the existing rows share, and null keys on both sides."""
+    line, order = F.col("l_orderkey"), F.col("o_orderkey")
+    shared = F.when(line % 3 == 0, 1).when(line % 7 != 0, line)
+    old = table(spark, sf_dir, "lineitem").select(shared.alias("key"), F.col("l_quantity").alias("quantity"), F.lit("kept").alias("note"))
+    new = table(spark, sf_dir, "orders").filter(order % 2 == 1).select(F.when(order % 11 != 0, order).alias("key"), F.col("o_totalprice").alias("quantity"))
+    return joins.upsert(old, new, ["key"], ["quantity"], {"note": F.lit("fresh")})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierline.operators.joins import Dimension, concat, star_join
-from tierline.sinks import layers
+from tierline.sinks import layers, ledger
 from tierline.sources import arrays, envelopes, files
 from tierline.suite.registry import query, table
 from tierline.workspace import new_dir
@@ -140,6 +140,48 @@ def schema_union_scan(spark, sf_dir):
     return files.read_all_runs(spark, root)
 
 
+@query(
+    "SRC7 SNK7",
+    """SELECT s_suppkey AS key, s_name AS name, CAST(NULL AS VARCHAR) AS segment, CAST(NULL AS DOUBLE) AS balance FROM supplier
+    UNION ALL SELECT c_custkey, c_name, c_mktsegment, NULL FROM customer UNION ALL SELECT p_partkey, NULL, p_brand, p_retailprice FROM part""",
+)
+def schema_union_from_ledger(spark, sf_dir):
+    """Runs with columns of their own, read by the columns their ledger names; no footer is looked at for the schema."""
+    root, told = new_dir(spark, "all-runs"), new_dir(spark, "ledger")
+    runs = {
+        "run-1": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")),
+        "run-2": table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+        ),
+        "run-3": table(spark, sf_dir, "part").select(
+            F.col("p_retailprice").alias("balance"), F.col("p_brand").alias("segment"), F.col("p_partkey").alias("key")
+        ),
+    }
+    for day, (run, rows) in enumerate(runs.items()):
+        rows.write.parquet(f"{root}/2024/06/{15 + day}/{run}")
+        ledger.record(spark, told, run, f"2024-06-{15 + day}", rows.schema)
+    return files.read_all_runs(spark, root, ledger.union_schema(ledger.entries(spark, told)))
+
+
+@query(
+    "SRC3 SRC4 SET1",
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, 'é' || c_name AS name, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS "größe" FROM customer
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name || 'ß', NULL, CAST(p_size AS VARCHAR) FROM part""",
+)
+def csv_pickup_encoded(spark, sf_dir):
+    """Latin-1 files of two layouts, with letters of that encoding in names and values; headers are read alone."""
+    folder = new_dir(spark, "drop-latin")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.concat(F.lit("é"), "c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+    )
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_size").alias("größe"), F.concat("p_name", F.lit("ß")).alias("name"), F.col("p_partkey").alias("key")
+    )
+    customers.write.mode("append").options(**_TO_CSV).csv(folder)
+    parts.write.mode("append").options(**_TO_CSV).csv(folder)
+    return files.pick_up_csv(spark, folder, sep="|", encoding="latin-1", mixed_headers=True, multi_line=False)
+
+
 def _landed(docs, name):
     """The documents as a later job would read them back."""
     spark = docs.sparkSession
