@@ -75,7 +75,7 @@ def test_groups_of_near_copies(spark):
                 changed[place] = word()
             rows.append((len(rows), " ".join(changed)))
     rows += [(len(rows) + i, t) for i, t in enumerate([None, "", " ", "one two", "one  two", "x " * 500, "x " * 500, "y", "z" * 40000, "x " * 450])]
-    df = spark.createDataFrame([(k, t, 1, "c") for k, t in rows], "doc_id long, text string, row int, class_id string").drop("class_id").repartition(4)
+    df = spark.createDataFrame([(k, t, 1, "c") for k, t in rows], "doc_id long, text string, row int, class_id string").repartition(4)
     done = bagminhash.classes(df)
     assert done.columns == ["doc_id", "text", "row", "class_id", "class_size", "is_first"]
     told = done.collect()

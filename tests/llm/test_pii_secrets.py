@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.llm import pii, secrets
 
@@ -149,3 +150,33 @@ def test_a_value_of_one_owner_is_live_however_often_it_is_copied(spark):
         assert span.live and span.owners == 1 and span.repositories == 31
     named = secrets.detect(df, repository_col="doc_id").collect()
     assert {s.repositories for r in named for s in r.secrets} == {60}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "me [at] " + "aa." * 350_000 + "aa",
+        "me [at] " + "aa [dot] " * 120_000 + "aa",
+        "a" * 1_000_000 + " [at] " + "b" * 1_000_000 + ".cc",
+        "1.1.1.1" * 300 + "1" * 1_000_000,
+        "1 dot 1 dot 1 dot 1 " * 300 + "." * 1_000_000,
+        "4111.1111.1111.1111." * 300 + "(" * 1_000_000,
+        "(030) 123 456 " * 300 + "-" * 1_000_000,
+        "aa@" + "bb." * 350_000 + "cc",
+    ],
+)
+def test_very_long_loose_forms(spark, tmp_path, text):
+    """From a file, as a row that the driver holds is not searched by the executors' code."""
+    spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string").write.parquet(str(tmp_path / "long"))
+    df = spark.read.parquet(str(tmp_path / "long"))
+    model = pii.Model((0.5,), dict.fromkeys(pii.KINDS, 0.0), 0.0)
+    found = pii.detect(df, model).select("doc_id", F.size("pii_spans").alias("n")).collect()
+    assert {r.doc_id for r in found} == {1, 2}
+
+
+def test_columns_of_internal_names_stay(spark):
+    names = ["_ranked", "pii_candidates", "_raw_email", "_raw_ip", "row", "text", "pii_base", "pii_spans"]
+    df = spark.createDataFrame([tuple(range(5)) + ("mail a@b.cc", "old", "old")], ", ".join(f"{n} {'int' if k < 5 else 'string'}" for k, n in enumerate(names)))
+    (row,) = pii.detect(df, pii.Model((), dict.fromkeys(pii.KINDS, float("inf")), 0.0)).collect()
+    assert list(row.asDict()) == names and tuple(row)[:6] == (0, 1, 2, 3, 4, "mail a@b.cc")
+    assert [tuple(s) for s in row.pii_base] == [(5, 11, "email")] == [tuple(s) for s in row.pii_spans]

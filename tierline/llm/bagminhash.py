@@ -283,7 +283,7 @@ def _pairs(df: DataFrame, one: str, other: str) -> DataFrame:
 
 
 def classes(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``df``: all its columns, and ``class_id``, ``class_size`` and ``is_first``.
+    """One row per row of ``df``: all its columns, and ``class_id``, ``class_size`` and ``is_first`` (columns of these names are replaced).
 
     ``class_id`` is the least key of the class (null if all keys in it are null), ``class_size`` its
     number of rows, and exactly one row of each class is ``is_first``: one that has the least key.
@@ -316,5 +316,6 @@ def classes(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", simi
     least = joined.filter(F.col("key").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("row").alias("first"))
     out = joined.join(least, "root").withColumn("is_first", F.col("row") == F.col("first"))
     value = F.when(F.col("was_null"), F.lit(None)).otherwise(F.col("text"))
-    columns: list[Column] = [value.alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns]
-    return out.select(*columns, "class_id", "class_size", "is_first")
+    added = ["class_id", "class_size", "is_first"]
+    columns: list[Column] = [value.alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns if c not in added]
+    return out.select(*columns, *added)

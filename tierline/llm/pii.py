@@ -46,7 +46,7 @@ OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # Looser forms. Their kind is that of the strict pattern they resemble.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]{2,63}(?:\x20?(?:[\[(]\x20?(?:dot|DOT)\x20?[\])]|\.)\x20?[A-Za-z0-9-]{2,63})+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]{2,63}(?:\x20?(?:[\[(]\x20?(?:dot|DOT)\x20?[\])]|\.)\x20?[A-Za-z0-9-]{2,63})++",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])(?![0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9])[0-9]{1,3}(?:(?:\x20?[\[(]\x20?(?:\.|dot|DOT)\x20?[\])]\x20?|\x20(?:dot|DOT)\x20|\.)[0-9]{1,3}){3}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20.-][0-9]{2,4}){2,4}(?![0-9A-Za-z])",
@@ -218,12 +218,13 @@ def fit(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", rounds:
         _examples(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("c"),
     )
     rows = (
-        seen.select("held", F.explode("c").alias("c"))
+        # Not the inner form: it lets Spark test the size of all candidates before, by finding them once more.
+        seen.select("held", F.explode_outer("c").alias("c"))
         .groupBy("held", *[F.col(f"c.f.{n}").alias(n) for n in FEATURES])
         .agg(F.count("*").alias("n"), F.sum(F.col("c.y").cast("long")).alias("p"))
         .collect()
     )
-    order = sorted(rows, key=lambda r: tuple(r))
+    order = sorted((r for r in rows if r["kind"] is not None), key=lambda r: tuple(r))
     cells = [[r[n] for n in FEATURES] for r in order]
     fitted = [i for i, r in enumerate(order) if not r.held]
     n = [float(r.n) for r in order]
@@ -306,9 +307,12 @@ def detect(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     Added spans pass the check of their kind and never touch a base span or each other; the higher score wins, then the
     smaller start.
-    Null texts are empty. Rows, repeated ones too, stay one to one; other columns stay.
+    Null texts are empty. Rows, repeated ones too, stay one to one; other columns stay, whatever their names, but for
+    those called ``pii_base`` and ``pii_spans``, which are replaced. Very long texts and matches are walked through in loops.
     """
-    found = with_candidates(df, text_col)
+    names = [c for c in df.columns if c not in ("pii_base", "pii_spans")]
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    found = with_candidates(own, "text")
     score = " + ".join([f"{model.base_score!r}D", *map(_sql, model.trees)])
     scored = F.expr(
         "transform(filter(pii_candidates, c -> c.f.checked = 1), "
@@ -328,7 +332,8 @@ def detect(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         apart(F.col("_ranked"), F.col("pii_base")),
         lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")),
     )
-    return chosen.withColumn("pii_spans", F.concat("pii_base", added)).drop("pii_candidates", "_ranked")
+    told = chosen.select("row", "pii_base", F.concat("pii_base", added).alias("pii_spans"))
+    return told.select(*[F.col("row").getField(c).alias(c) for c in names], "pii_base", "pii_spans")
 
 
 def redacted(text: Column, spans: Column) -> Column:
