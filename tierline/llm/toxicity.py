@@ -95,8 +95,7 @@ def _words(df: DataFrame, known: np.ndarray | None) -> DataFrame:
 def _counts(df: DataFrame, known: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Words (or places) that at least so many texts have, in order, and how many have them.
 
-    Places are summed per task. All words of a sample would be more than its texts are, so one task counts them
-    there and only passes on those that are frequent enough; the sample's size is bounded.
+    Both are summed per task before they are shuffled; without known words that is at most what the sample's texts hold.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,11 +113,9 @@ def _counts(df: DataFrame, known: np.ndarray | None, least: float) -> tuple[np.n
             if sum(map(len, held)) > COUNTED:
                 summed()
         summed()
-        often = n >= (least if known is None else 1)
-        yield pa.RecordBatch.from_arrays([pa.array(words[often].view(np.int64)), pa.array(n[often])], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    texts = df.select("text")
-    each = (texts.coalesce(1) if known is None else texts).mapInArrow(run, "word long, n long")
+    each = df.select("text").mapInArrow(run, "word long, n long")
     table = each.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= float(least)).toArrow()
     words, n = np.asarray(table["word"]).view(np.uint64), np.asarray(table["n"])
     order = np.argsort(words)
@@ -142,9 +139,8 @@ class Model:
     prior: float
 
 
-def _sample(df: DataFrame, wanted: int) -> DataFrame:
-    """Rows by a hash of their key, about as many as wanted."""
-    total = df.count()
+def _sample(df: DataFrame, wanted: int, total: int) -> DataFrame:
+    """Of ``total`` rows those whose key has a certain hash, about as many as wanted."""
     if total <= wanted:
         return df
     return df.filter(F.pmod(F.xxhash64("key", F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * wanted / total))
@@ -159,15 +155,18 @@ def fit(df: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: str
     rows = df.select(F.col(f"`{key_col}`").alias("key"), F.col(f"`{text_col}`").alias("text")).filter("key is not null and text is not null")
     told = labels.select(F.col(f"`{key_col}`").alias("key"), F.col(f"`{label_col}`").alias("y")).filter("key is not null and y is not null")
     told = told.groupBy("key").agg(F.max("y").alias("y"))
-    known = rows.select("key").distinct().join(told, "key").agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
+    keyed = rows.groupBy("key").agg(F.count("*").alias("c")).join(told, "key")
+    known = keyed.agg(F.count("*").alias("n"), F.sum("y").alias("p"), F.sum(F.when(F.col("y") == 1, F.col("c"))).alias("c")).first()
     if not known.p:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf, 0.0)
     prior = min(0.5, known.p / known.n)
-    toxic = rows.join(told.filter("y = 1").select("key"), "key", "left_semi")
-    path = new_dir(df.sparkSession, "toxic")
-    for name, sample in (("p", _sample(toxic, POSITIVES)), ("u", _sample(rows, UNLABELLED))):
+    spark, path = df.sparkSession, new_dir(df.sparkSession, "toxic")
+    # Keys are chosen before a text is touched: about POSITIVES of them, which Spark sends to the texts by their size.
+    _sample(keyed.filter("y = 1").select("key"), POSITIVES, known.c).write.parquet(f"{path}/keys")
+    chosen = spark.read.parquet(f"{path}/keys")
+    for name, sample in (("p", rows.join(chosen, "key", "left_semi")), ("u", _sample(rows, UNLABELLED, rows.count()))):
         sample.select("text").write.parquet(f"{path}/{name}")
-    positive, unlabelled = (df.sparkSession.read.parquet(f"{path}/{name}") for name in ("p", "u"))
+    positive, unlabelled = (spark.read.parquet(f"{path}/{name}") for name in ("p", "u"))
     n_p, n_u = positive.count(), max(unlabelled.count(), 1)
     words, n = _counts(positive, None, max(MIN_POSITIVES if n_p > 20 else 1, MIN_SHARE * n_p))
     share, usual = n / max(n_p, 1), np.zeros(len(words))
