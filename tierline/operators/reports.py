@@ -89,7 +89,7 @@ def calendar_month_report(curated: DataFrame) -> DataFrame:
     )
 
 
-# fixed values: columns of the record report
+# fixed values: columns of the record report, with two that are made for it
 RECORD_COLUMNS = (
     "_id",
     "county_label",
@@ -99,6 +99,7 @@ RECORD_COLUMNS = (
     "fy_year",
     "fy_quarter",
     "fy_month",
+    "fy_year_quarter",
     "correct_ontime",
     "correct_incentive_amt",
     "ontime_incentive_date",
@@ -113,17 +114,15 @@ RECORD_COLUMNS = (
     "case_2_correct",
     "case_3_correct",
     "correct_treatment",
+    "has_chc",
     "chc_meetings_oneplus",
 )
 
 
 def record_report(curated: DataFrame) -> DataFrame:
     """One row per survey record."""
-    return curated.select(
-        *RECORD_COLUMNS,
-        year_quarter_label(F.col("fy_year"), F.col("fy_quarter")).alias("fy_year_quarter"),
-        has_committee().alias("has_chc"),
-    )
+    made = {"fy_year_quarter": year_quarter_label(F.col("fy_year"), F.col("fy_quarter")), "has_chc": has_committee()}
+    return curated.select(*[made[c].alias(c) if c in made else F.col(c) for c in RECORD_COLUMNS])
 
 
 def indicator_rows(

@@ -121,15 +121,28 @@ def dedup(df: DataFrame, key: str | Sequence[str], latest_by: Sequence[Column] =
     ``latest_by`` says which row stays (first in that order). Spark drops the
     losers of every map task before the shuffle (window group limit), so a key
     with very many rows sends only one row per task. Rows that are equal in that
-    order, or all without one, are ordered by the text of the whole row, so the
-    same row stays when a task runs again.
+    order, or all without one, are ordered by a hash of the row, and by its columns
+    where that is equal, so the same row stays when a task runs again.
     """
     keys = [key] if isinstance(key, str) else list(key)
     present = {c.lower() for c in df.columns}
     if not all(k.lower() in present for k in keys):
         return df
-    whole = F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]))
-    return keep_first(df, keys, [*latest_by, F.xxhash64(whole), whole], 1)
+    return keep_first(df, keys, [*latest_by, *_any_order(df)], 1)
+
+
+def _any_order(df: DataFrame) -> list[Column]:
+    """An order of whole rows. Hashes pass over nulls, so their places are hashed too; maps have neither hash nor order, but a text."""
+
+    def plain(dtype: T.DataType) -> bool:
+        if isinstance(dtype, T.ArrayType):
+            return plain(dtype.elementType)
+        if isinstance(dtype, T.StructType):
+            return all(plain(f.dataType) for f in dtype)
+        return not isinstance(dtype, (T.MapType, T.VariantType))
+
+    own = [F.col(quoted(f.name)) if plain(f.dataType) else F.to_json(F.struct(F.col(quoted(f.name)))) for f in df.schema]
+    return [F.xxhash64(F.array(*[F.col(quoted(c)).isNull() for c in df.columns]), *own), *own]
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions import survey as rules
 from tierline.operators import reports
 from tierline.operators.shape import rename
 from tierline.plans import batch, steps
 from tierline.plans.load import load
+from tierline.plans.star import Star, StarDimension, load_star, view
 from tierline.sinks import layers
+from tierline.sinks.control import ControlLog
 from tierline.sinks.tables import SnapshotTable
 from tierline.sources import files
 from tierline.suite import inputs
@@ -200,3 +203,80 @@ def load_end_to_end(spark, sf_dir):
     first = load(facts, orders.filter("day < '1997-01-01'"), ["o_orderkey"], "batch-1", "day", checks=checks)
     done = load(facts, orders.filter(F.col("day") >= first.watermark), ["o_orderkey"], "batch-2", "day", checks=checks)
     return spark.createDataFrame([(done.rows, done.watermark, done.verdict)], "table_rows long, watermark string, verdict string")
+
+
+@query("SRC1 SRC5 SRC8 PRJ13 PRJ19 SNK1 SNK5 SNK14 INC1 INC2 DQ4", with_kpis("SELECT _id, county_label, fy_year, fy_quarter, correct_ontime, correct_treatment, ip FROM kpi_v"))
+def survey_load_end_to_end(spark, sf_dir):
+    """Two runs of survey documents, the second with corrections, through all layers into the table, its mark and its checks."""
+    root = new_dir(spark, "survey-load")
+    surveys = inputs.survey(spark, sf_dir)
+    early = surveys.withColumns({"txt_notes": F.lit("draft"), "grp_incentive1_incentive_correct": F.lit("0"), "sd_scenario_1": F.lit("9")})
+    facts = SnapshotTable(spark, f"{root}/community_data", bucket_by=["_id"], buckets=8)
+    marks = ControlLog(spark, f"{root}/watermarks")
+    checks = [{"type": "row_count_min", "threshold": 10}, {"type": "null_check", "columns": ["_id"]}]
+    for day, submissions in ((15, early.filter("_id % 3 = 0")), (22, surveys)):
+        run = batch.Run("survey", f"run-{day}", f"2024-06-{day}T10:30:00", "liberia")
+        documents = rename(submissions, _tool_name).select(F.struct(F.array(F.struct("*")).alias("results")).alias("doc"))
+        layers.land_documents(documents, "doc", f"{root}/raw/{day}")
+        raw = files.read_json(spark, f"{root}/raw/{day}", documents.schema["doc"].dataType)
+        clean = rules.clean(batch.processed(raw, run, dedup_key="_id", drop_nulls=False), inputs.RULES)
+        path = batch.write_layer(clean, f"{root}/processed", run, f"{root}/audit", "processed", ledger_path=f"{root}/ledger")
+        curated = batch.curated(rules.curate(files.read_parquet(spark, path), inputs.RULES), run)
+        path = batch.write_layer(curated, f"{root}/curated", run, f"{root}/audit", "curated")
+        done = load(facts, files.read_parquet(spark, path), ["_id"], run.execution_id, "start", checks=checks, batch_checks=checks)
+        marks.finish("survey", done.watermark, run.ingestion_time, run.execution_id)
+    return facts.read().select("_id", "county_label", "fy_year", "fy_quarter", "correct_ontime", "correct_treatment", "ip")
+
+
+_UNIT = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "displayname", "parent_id", "parent_displayname")])
+_ELEMENT = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "displayname", "shortname")])
+
+
+@query(
+    "SRC10 SRC12 PRJ18 SNK3 SNK5 SNK6 JOIN1 INC6 DQ4",
+    """SELECT CAST(l_partkey AS VARCHAR) AS dataelement, p_name AS dataelement_name, left(p_brand, 5) AS dataelement_shortname,
+    CAST(l_suppkey AS VARCHAR) AS orgunit, s_name AS orgunit_name, CAST(n_nationkey AS VARCHAR) AS orgunit_parent_id, n_name AS orgunit_parent_name,
+    strftime(l_shipdate, '%Y%m') AS period, CAST(l_orderkey AS VARCHAR) AS categoryoptioncombo, CAST(l_linenumber AS VARCHAR) AS attributeoptioncombo,
+    CASE WHEN year(l_shipdate) = 1997 THEN l_quantity + 1 ELSE l_quantity END AS value
+    FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_partkey % 4 <> 0
+    LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey""",
+)
+def star_end_to_end(spark, sf_dir):
+    """Facts of two runs and their dimensions from envelopes to the joined view; the second run brings a year again."""
+    root = new_dir(spark, "star")
+    part, supplier, nation = (table(spark, sf_dir, n) for n in ("part", "supplier", "nation"))
+    elements = part.filter("p_partkey % 4 <> 0").select(
+        F.array(F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("displayName"), F.col("p_brand").alias("shortName"))).alias("dataElements")
+    )
+    parent = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("displayName"))
+    unit = F.struct(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("displayName"), parent.alias("parent"))
+    units = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(F.array(unit).alias("organisationUnits"))
+    star = Star(
+        facts=SnapshotTable(spark, f"{root}/data_values", partition_by=["period"], sort_keys=["period", "dataelement", "orgunit"]),
+        keys=["dataelement", "period", "orgunit", "categoryoptioncombo", "attributeoptioncombo"],
+        columns=["dataelement", "period", "orgunit", "categoryoptioncombo", "attributeoptioncombo", "value"],
+        dimensions=[
+            StarDimension(elements, "dataElements", SnapshotTable(spark, f"{root}/elements"), _ELEMENT, "dataelement", {"dataelement_name": "displayname", "dataelement_shortname": "shortname"}, max_length={"shortname": 5}),
+            StarDimension(
+                units, "organisationUnits", SnapshotTable(spark, f"{root}/units"), _UNIT, "orgunit",
+                {"orgunit_name": "displayname", "orgunit_parent_id": "parent_id", "orgunit_parent_name": "parent_displayname"},
+            ),
+        ],
+        watermark="period",
+        checks=[{"type": "row_count_min", "threshold": 1}, {"type": "null_check", "columns": ["dataelement", "period"]}],
+        values={"value": F.col("value").cast("double")},
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    headers = F.array(*[F.struct(F.lit(n).alias("name")) for n in star.columns])
+    again = F.year("l_shipdate") == 1997
+    for run, rows, more in (("run-1", lines, 0), ("run-2", lines.filter(again), 1)):
+        cells = [F.col("l_partkey"), F.date_format("l_shipdate", "yyyyMM"), F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity") + more]
+        one = F.array(*[c.cast("string") for c in cells])
+        documents = rows.select(F.struct(headers.alias("headers"), F.array(one).alias("rows")).alias("doc"))
+        layers.land_documents(documents, "doc", f"{root}/raw/{run}")
+        landed = files.read_json(spark, f"{root}/raw/{run}", documents.schema["doc"].dataType)
+        load_star(star, landed, batch.Run("dhis", run, "2024-06-15T10:30:00", "liberia"))
+    return view(star).select(
+        "dataelement", "dataelement_name", "dataelement_shortname", "orgunit", "orgunit_name", "orgunit_parent_id", "orgunit_parent_name",
+        "period", "categoryoptioncombo", "attributeoptioncombo", "value",
+    )

@@ -84,7 +84,7 @@ def kpi_cy_month_incremental(spark, sf_dir):
 
 @query(
     "PRJ21 DER25 DER26",
-    with_kpis(f"SELECT {', '.join(reports.RECORD_COLUMNS)}, fy_year_quarter, has_chc FROM kpi_v"),
+    with_kpis(f"SELECT {', '.join(reports.RECORD_COLUMNS)} FROM kpi_v"),
 )
 def kpi_record_report(spark, sf_dir):
     return reports.record_report(inputs.curated(spark, sf_dir))
