@@ -90,7 +90,7 @@ def test_pipeline(spark, tmp_path):
 
 def test_registered(spark):
     names = [n for n in driver.queries() if re.match(r"op\d+_|pipeline$", n)]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
