@@ -202,12 +202,11 @@ def elements(spark: SparkSession, path: str) -> DataFrame:
     pieces = cut.filter("place IS NOT NULL")
     order = Window.partitionBy("path").orderBy("start", "place").rowsBetween(Window.unboundedPreceding, -1)
     number = F.coalesce(F.sum(F.col("ends").cast("long")).over(order), F.lit(0))
-    parts = F.sort_array(F.collect_list(F.struct("start", "place", "value")))
-    # What is left behind the last element of a file ends nothing.
-    whole = pieces.withColumn("number", number).groupBy("path", "number").agg(parts.alias("parts"), F.max("ends").alias("ends")).filter("ends")
     # The pieces of one element; an element is a record, so they fit into a row.
-    stitched = whole.select(F.aggregate("parts", F.lit(b""), lambda done, part: F.concat(done, part["value"])).alias("value"))
-    found = cut.filter("place IS NULL").select("value").union(stitched)
+    joined = F.expr("listagg(value) WITHIN GROUP (ORDER BY start, place)")
+    stitched = pieces.withColumn("number", number).groupBy("path", "number").agg(joined.alias("value"), F.max("ends").alias("ends"))
+    # What is left behind the last element of a file ends nothing.
+    found = cut.filter("place IS NULL").select("value").union(stitched.filter("ends").select("value"))
     text = F.decode("value", "UTF-8")
     # A byte order mark, the bracket of the array, and what separates elements.
     return found.select(F.regexp_replace(text, r"\A[^{]*+", "").alias("value"))
