@@ -62,3 +62,50 @@ def test_partitioned_upsert(spark, rows, tmp_path):
         streams.upsert_partitions_available(
             streams.table_stream(spark, source), path, ["day", "id"], ["day"], str(tmp_path / "cp")
         )
+
+
+def test_columns_that_files_bring(spark, rows, tmp_path, monkeypatch):
+    source, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    source.mkdir()
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+
+    def drop(name, *lines):
+        (source / name).write_text("\n".join(lines))
+
+    def run():
+        streams.ingest_growing(spark, str(source), table, checkpoint)
+
+    drop("a.json", '{"id": 1}', '{"id": 2, "none": null}')
+    run()
+    assert table.read().columns == ["id"]
+    drop("b.json", '{"id": 3, "more": {"x": "y"}, "name": "n"}', '{"name": "m", "id": 4}')
+    # The commit happens, its acknowledgement does not.
+    plain = SnapshotTable.append
+
+    def dies(self, *args, **options):
+        plain(self, *args, **options)
+        raise ZeroDivisionError
+
+    with monkeypatch.context() as patch, pytest.raises(Exception, match="ZeroDivisionError"):
+        patch.setattr(SnapshotTable, "append", dies)
+        run()
+    assert table.read().count() == 4
+    run()
+    drop("c.json", '{"ID": "5", "name": 7}')
+    run()
+    run()
+    assert table.schema().simpleString() == "struct<id:bigint,more:struct<x:string>,name:string>"
+    assert rows(table.read().select("id", "more.x", "name")) == sorted([(1, None, None), (2, None, None), (3, "y", "n"), (4, None, "m"), (5, None, "7")], key=repr)
+    drop("d.json", '{"id": "five"}')
+    with pytest.raises(Exception, match="does not fit bigint"):
+        run()
+    assert table.read().count() == 5
+
+
+def test_a_line_that_is_no_record(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"id": 1}\n{"id": ')
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    with pytest.raises(Exception, match="MALFORMED|alformed"):
+        streams.ingest_growing(spark, str(tmp_path / "in"), table, str(tmp_path / "cp"))
+    assert not table.exists()

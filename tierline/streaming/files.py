@@ -57,6 +57,29 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str) -> Streami
     return query
 
 
+def ingest_growing(spark: SparkSession, path: str, table: SnapshotTable, checkpoint: str, files_per_batch: int | None = None) -> StreamingQuery:
+    """Appends JSON records, one per line, of new files to a table that takes on the columns they bring, then stops.
+
+    The stream reads lines, so its own schema never changes and a new column needs no new stream. Each batch is parsed by the
+    columns that it holds, found by a pass over its lines, and the table's commits are the log of schemas: a known column
+    keeps its type, and a value that does not fit it is an error, as is a line that is no record. A column that is null in
+    the whole batch brings nothing. A batch that was committed but not acknowledged is left out when it comes again.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        tag = f"{checkpoint}#{batch_id}"
+        if table.has_commit(tag):
+            return
+        own = batch.sparkSession
+        lines = getattr(batch.select("value")._jdf, "as")(own._jvm.org.apache.spark.sql.Encoders.STRING())
+        reader = own._jsparkSession.read().option("mode", "FAILFAST").option("dropFieldIfAllNull", True)
+        records = DataFrame(reader.json(lines), own)
+        if records.columns:
+            table.append(records, tag)
+
+    return _each_batch(new_files(spark, path, "value string", "text", files_per_batch), add, checkpoint)
+
+
 def upsert_available(
     stream: DataFrame,
     table: SnapshotTable,

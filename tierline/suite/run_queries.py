@@ -152,6 +152,22 @@ def stream_file_ingest(spark, sf_dir):
     return spark.read.parquet(f"{root}/events")
 
 
+@query(
+    "STR1 SNK4 SNK8",
+    """SELECT event_id, user_id, CASE WHEN event_id % 3 > 0 THEN value END AS value, CASE WHEN event_id % 3 > 1 THEN event_type END AS event_type FROM events""",
+)
+def stream_schema_growth(spark, sf_dir):
+    """Three drops of JSON lines, each with a column more; the stream starts anew for each, and once for none."""
+    root = new_dir(spark, "growing-stream")
+    events = table(spark, sf_dir, "events")
+    taken = SnapshotTable(spark, f"{root}/events")
+    for drop, columns in enumerate((["event_id", "user_id"], ["event_id", "user_id", "value"], ["event_type", "event_id", "user_id", "value"])):
+        events.filter(F.col("event_id") % 3 == drop).select(*columns).write.mode("append").json(f"{root}/drops")
+        streams.ingest_growing(spark, f"{root}/drops", taken, f"{root}/checkpoint")
+    streams.ingest_growing(spark, f"{root}/drops", taken, f"{root}/checkpoint")
+    return taken.read()
+
+
 @query(
     "STR2 SNK5",
     """SELECT event_id, user_id, event_type FROM events
