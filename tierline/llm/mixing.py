@@ -98,10 +98,17 @@ def _patterns(texts: DataFrame, domains: tuple[str, ...]) -> tuple[str, ...]:
     return tuple(patterns)
 
 
-def fit(df: DataFrame, labelled: DataFrame, domains: tuple[str, ...], key_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
+def fit(
+    df: DataFrame,
+    labelled: DataFrame,
+    domains: tuple[str, ...],
+    key_col: str = "doc_id",
+    text_col: str = "text",
+    whole: bool = False,
+) -> tuple[Model, DataFrame]:
     """A model from rows of ``df`` that ``labelled`` (key, domain) knows, and the binned features of all rows.
 
-    Features are computed once and written. Rows without a null in key and domain teach; a key labelled twice counts by
+    Features are computed once and written, with ``whole`` beside the row they belong to (``row``). Rows without a null in key and domain teach; a key labelled twice counts by
     its least domain. A domain that no such row has is given no posterior; without any such row all posteriors are equal.
     """
     spark = df.sparkSession
@@ -109,14 +116,19 @@ def fit(df: DataFrame, labelled: DataFrame, domains: tuple[str, ...], key_col: s
     known = known.filter(F.col("domain").isin(*domains)).groupBy("key").agg(F.min("domain").alias("domain"))
     total = known.count()
     part = F.pmod(F.xxhash64("key", F.lit(29)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, LABELLED / max(total, 1)))
-    own = df.select(F.col(f"`{key_col}`").alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    texts = own.filter(part).join(known.filter(part), "key")
+    own = df.select(
+        F.col(f"`{key_col}`").alias("key"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+    )
+    texts = own.select("key", "text").filter(part).join(known.filter(part), "key")
     sample = new_dir(spark, "labelled")
     texts.write.parquet(sample)
     patterns = _patterns(spark.read.parquet(sample), domains)
     described = features(F.col("text"), patterns)
     path = new_dir(spark, "features")
-    own.select("key", *[c.alias(n) for n, c in described.items()]).write.parquet(path)
+    kept = ["key", "row"] if whole else ["key"]
+    own.select(*kept, *[c.alias(n) for n, c in described.items()]).write.parquet(path)
     rows = spark.read.parquet(path)
     names = [n for n in described if n != "tokens"]
     cells = rows.filter("key is not null").join(known, "key").groupBy("domain", *names).agg(F.count("*").alias("n")).collect()
@@ -227,8 +239,9 @@ def mix(
     key_col: str = "doc_id",
     text_col: str = "text",
     keep_all: bool = False,
+    whole: bool = False,
 ) -> tuple[Mix, DataFrame]:
-    """The fitted rates as a function of a row's features, and the features of all rows (key first).
+    """The fitted rates as a function of a row's features, and the features of all rows (key first, then with ``whole`` the row).
 
     ``weights`` are the shares of tokens that the domains are to have. The tokens of all are kept, or with ``keep_all``
     multiplied until no domain has to shrink, and no rate is below 1. A domain of weight 0 or without expected tokens, such
@@ -236,7 +249,7 @@ def mix(
     posterior like any other.
     """
     domains = tuple(weights)
-    model, rows = fit(df, labelled, domains, key_col, text_col)
+    model, rows = fit(df, labelled, domains, key_col, text_col, whole)
     cells = rows.groupBy(*model.bins).agg(F.sum("tokens").cast("double").alias("tokens")).select(posteriors(model).alias("p"), "tokens")
     path = new_dir(df.sparkSession, "cells")
     cells.write.parquet(path)
@@ -263,25 +276,45 @@ def rates(
     """
     found, rows = mix(df, labelled, weights, key_col, text_col)
     shares = [F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(found.model.domains)]
-    totals = [
+    totals = _totals(found) if with_totals else []
+    return _told(found, rows).select(F.col("key").alias(key_col), F.col("tokens").alias("n_tokens"), *shares, "rate", *totals)
+
+
+def _totals(found: Mix) -> list[Column]:
+    return [
         F.lit(float(x)).alias(f"{name}_{d}")
         for name, of in (("target", found.targets), ("reached", found.reached))
         for d, x in zip(found.model.domains, of)
     ]
-    totals = totals if with_totals else []
-    return _told(found, rows).select(F.col("key").alias(key_col), F.col("tokens").alias("n_tokens"), *shares, "rate", *totals)
+
+
+def _counted(df: DataFrame, labelled: DataFrame, weights: Mapping[str, float], key_col: str, text_col: str, keep_all: bool) -> tuple[Mix, DataFrame]:
+    """The fit, and per row of ``df`` the row and its number of copies, from the features that the fit has written."""
+    found, rows = mix(df, labelled, weights, key_col, text_col, keep_all, whole=True)
+    text = F.coalesce(F.col("row").getField(text_col), F.lit(""))
+    times = copies(F.col("rate"), F.col("key"), text)
+    return found, _told(found, rows).select("row", (F.greatest(times, F.lit(1)) if keep_all else times).alias("times"))
+
+
+def counted(df: DataFrame, labelled: DataFrame, weights: Mapping[str, float], key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows of ``df``, each once, with ``copies``, ``target_<domain>`` and ``reached_<domain>`` (columns of these names are replaced).
+
+    ``copies`` is how often the row is to be taken, 0 or more, with its rate as the mean, so that the tokens of all copies are about
+    as many as before and those of the domains come near their targets. It is drawn by a hash of key and text: equal rows
+    have equal numbers. Null texts are empty; their number follows from their posterior.
+    """
+    found, rows = _counted(df, labelled, weights, key_col, text_col, keep_all=False)
+    totals = _totals(found)
+    added = ["copies", *[f"{name}_{d}" for name in ("target", "reached") for d in weights]]
+    own = [F.col("row").getField(c).alias(c) for c in df.columns if c not in added]
+    return rows.select(*own, F.col("times").alias("copies"), *totals)
 
 
 def repeated(df: DataFrame, labelled: DataFrame, weights: Mapping[str, float], key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows of ``df``, each as often as its rate says and at least once; columns stay as they are."""
-    found, _ = mix(df, labelled, weights, key_col, text_col, keep_all=True)
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    names = df.columns
-    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text.alias("text"), F.col(f"`{key_col}`").alias("key"))
-    described = whole.select("row", "key", "text", *[c.alias(n) for n, c in features(F.col("text"), found.model.patterns).items()])
-    times = F.greatest(copies(F.col("rate"), F.col("key"), F.col("text")), F.lit(1))
-    again = _told(found, described).select("row", F.explode(F.sequence(F.lit(1), times)).alias("time"))
-    return again.select(*[F.col("row").getField(c).alias(c) for c in names])
+    _, rows = _counted(df, labelled, weights, key_col, text_col, keep_all=True)
+    again = rows.select("row", F.explode(F.sequence(F.lit(1), "times")).alias("time"))
+    return again.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
 def copies(rate: Column, *key: Column) -> Column:
