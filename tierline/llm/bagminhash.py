@@ -303,21 +303,17 @@ def classes(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", simi
     path = new_dir(spark, "signatures")
     with_signature(own, "text", "bands", BANDS * ROWS, banded).write.parquet(path)
     rows = spark.read.parquet(path)
-    # A node is a distinct text; of its rows the one with the least key stands for it, null keys last.
+    # The key is ordered first, so that the least key's row stands for equal texts.
     nodes = checkpointed(
-        rows.groupBy("text_hash").agg(
-            F.min("row").alias("node"), F.min(F.struct(F.col("key").isNull().alias("keyless"), "key", "row")).alias("least"), F.count("*").alias("n")
-        )
+        rows.groupBy("text_hash").agg(F.min("row").alias("node"), F.min("key").alias("key"), F.count("*").alias("n"))
     )
     roots = _links(rows, nodes, similarity)
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    per_class = placed.groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("class_size"))
-    # Whole texts meet their class by their own hash, so that no class gathers in one task.
-    told = checkpointed(
-        placed.select("text_hash", "root")
-        .join(per_class, "root")
-        .select("text_hash", F.col("least.key").alias("class_id"), "class_size", F.col("least.row").alias("first"))
-    )
+    per_class = placed.groupBy("root").agg(F.min("key").alias("class_id"), F.sum("n").alias("class_size"))
+    told = checkpointed(placed.join(per_class, "root").select("text_hash", "root", "class_id", "class_size"))
+    # Of the rows that carry the least key, the first one. Whole texts meet their class by their own hash alone.
+    bearing = rows.select("row", "key", "text_hash").join(told, "text_hash").filter(F.col("key").eqNullSafe(F.col("class_id")))
+    told = checkpointed(told.join(bearing.groupBy("root").agg(F.min("row").alias("first")), "root").drop("root"))
     out = rows.drop("bands", "total").join(told, "text_hash").withColumn("is_first", F.col("row") == F.col("first"))
     value = F.when(F.col("was_null"), F.lit(None)).otherwise(F.col("text"))
     added = ["class_id", "class_size", "is_first"]
