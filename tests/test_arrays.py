@@ -99,3 +99,16 @@ def test_landed_arrays_come_back(spark, tmp_path):
     assert split == whole and len(split) == len(HARD)
     layers.land_array(df.limit(0), str(tmp_path / "none"))
     assert arrays.read_json_array(spark, str(tmp_path / "none"), SCHEMA).collect() == []
+
+
+def test_working_arrays_are_bounded_whatever_the_batch(spark, tmp_path):
+    rows = [{"id": i, "text": HARD[i % len(HARD)] * 40 + "x" * 5000} for i in range(2000)]
+    text = json.dumps(rows)
+    (tmp_path / "a.json").write_text(text)
+    values = text.split("}")
+    batch = arrays.pa.RecordBatch.from_arrays([["a"] * len(values), [0] * len(values), values], ["path", "start", "value"])
+    sizes = [sum(map(len, part.column("value").to_pylist())) for _, _, part in arrays._parts(iter([batch]))]
+    assert sum(sizes) == sum(map(len, values)) and len(sizes) > 5
+    assert max(sizes) <= 2 * arrays.RUN_BYTES
+    split, whole = both(spark, tmp_path)
+    assert split == whole and len(whole) == 2000

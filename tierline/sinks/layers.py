@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,9 +98,9 @@ def land_array(df: DataFrame, path: str) -> None:
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = "["
         for batch in batches:
-            records = batch.column("value").to_pylist()
-            if records:
-                yield pa.RecordBatch.from_arrays([pa.array([(before if not k else ",") + r for k, r in enumerate(records)])], ["value"])
+            if batch.num_rows:
+                marks = pa.array([before, *[","] * (batch.num_rows - 1)], batch.column("value").type)
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column("value"), "")], ["value"])
                 before = ","
         yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], ["value"])
 

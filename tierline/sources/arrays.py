@@ -30,6 +30,8 @@ from tierline.workspace import new_dir
 
 # Ranges whose states are broadcast, of some 50 bytes each; beyond it the fragments are dealt to them by a shuffle.
 BROADCAST_RANGES = 1_000_000
+# Bytes of text that are looked at together, more only where one fragment has more; a byte takes some 30 in working arrays.
+RUN_BYTES = 1 << 20
 
 _OPEN, _CLOSE, _QUOTE, _BACKSLASH = frozenset(b"{["), frozenset(b"}]"), ord('"'), ord("\\")
 _END, _START, _LIST = ord("}"), ord("{"), ord("[")
@@ -41,7 +43,7 @@ def _table(values: bytes | frozenset) -> np.ndarray:
     return known
 
 
-_STEP = _table(_OPEN).astype(np.int64) - _table(_CLOSE)
+_STEP = _table(_OPEN).astype(np.int8) - _table(_CLOSE)
 _BETWEEN = _table(b" \t\r\n,")
 
 
@@ -62,13 +64,15 @@ def _joined(batch: pa.RecordBatch) -> bytes:
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch]]:
-    """Runs of fragments of one range, in order; a range may take several."""
+    """Runs of fragments of one range, in order; a range takes several, by the size of batches and ``RUN_BYTES``."""
     for batch in batches:
         if not batch.num_rows:
             continue
         starts, paths = batch.column("start"), batch.column("path")
         changed = pc.or_(pc.not_equal(starts[1:], starts[:-1]), pc.not_equal(paths[1:], paths[:-1]))
-        edges = [0, *(np.flatnonzero(changed.to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+        ends = np.cumsum(pc.binary_length(batch.column("value")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        full = np.diff(ends // RUN_BYTES) > 0
+        edges = [0, *(np.flatnonzero(changed.to_numpy(zero_copy_only=False) | full) + 1).tolist(), batch.num_rows]
         for at, end in zip(edges, edges[1:]):
             yield paths[at].as_py(), starts[at].as_py(), batch.slice(at, end - at)
 
@@ -78,15 +82,15 @@ def _outside(raw: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray]:
 
     No fragment begins behind a backslash: ``}`` is never escaped, so the one before it is escaped itself.
     """
-    place = np.arange(len(raw))
-    plain = np.maximum.accumulate(np.where(raw != _BACKSLASH, place, -1))
+    # An Arrow column of texts has less than 2^31 bytes.
+    plain = np.where(raw != _BACKSLASH, np.arange(len(raw), dtype=np.int32), np.int32(-1))
+    np.maximum.accumulate(plain, out=plain)
     quotes = np.flatnonzero(raw == _QUOTE)
     before = np.where(quotes > 0, plain[quotes - 1], -1)
     quotes = quotes[(quotes - 1 - before) % 2 == 0]
-    marks = np.zeros(len(raw), np.int64)
-    marks[quotes] = 1
-    is_quote = marks.astype(bool)
-    return ((np.cumsum(marks) + inside) % 2 == 0) & ~is_quote, is_quote
+    is_quote = np.zeros(len(raw), bool)
+    is_quote[quotes] = True
+    return (np.logical_xor.accumulate(is_quote) == inside) & ~is_quote, is_quote
 
 
 def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +129,8 @@ class _Cutter:
     def cut(self, text: bytes) -> list[bytes]:
         raw = np.frombuffer(text, np.uint8)
         outside, quotes = _outside(raw, self.inside)
-        step = np.where(outside, _STEP[raw], 0)
-        depth = self.depth + np.cumsum(step)
+        step = _STEP[raw] * outside
+        depth = np.cumsum(step, dtype=np.int32) + np.int32(self.depth)
         before = depth - step
         first = self.depth == 0 and self.start == 0 and self.head is None and not any(self.open)
         self._check(raw, outside | quotes, depth, before, first)
