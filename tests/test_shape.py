@@ -99,3 +99,14 @@ def test_lineage(spark):
         "_curated_at", "_curated_execution_id",
     ]
     assert {t for _, t in df.dtypes[1:]} == {"string"}
+
+
+def test_landed_documents_are_compressed_files_of_some_rows(spark, tmp_path, monkeypatch, rows):
+    from tierline.sinks import layers
+    from tierline.sources import files
+
+    monkeypatch.setattr(layers, "LANDED_DOCUMENTS", 100)
+    docs = spark.range(950).select(F.struct("id", F.lit("é }\n").alias("text")).alias("doc")).coalesce(1)
+    layers.land_documents(docs, "doc", str(tmp_path / "raw"))
+    assert len(list((tmp_path / "raw").glob("part-*.json.gz")) or list((tmp_path / "raw").glob("part-*.gz"))) == 10
+    assert rows(files.read_json(spark, str(tmp_path / "raw"), "id long, text string")) == sorted(((i, "é }\n") for i in range(950)), key=repr)

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tierline.operators.shape import quoted
 
+# Documents of one landed file. A compressed file is read by one task, so a task that lands more writes several.
+LANDED_DOCUMENTS = 200_000
+
 LAYER_PARTITIONS = ("country", "pipeline", "year", "month", "day", "execution_id")
 
 
@@ -86,9 +89,13 @@ def land_json(df: DataFrame, path: str) -> None:
 
 
 def land_documents(df: DataFrame, document: str, path: str) -> None:
-    """Response documents, one per line, from a struct or array column."""
+    """Response documents, one per line, from a struct or array column.
+
+    Every document repeats its names and headers, so the files are gzip, which the JSON scan reads as they are.
+    """
     text = F.to_json(F.col(quoted(document)), {"ignoreNullFields": "false"})
-    df.select(text.alias("value")).write.mode("overwrite").text(path)
+    writer = df.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", LANDED_DOCUMENTS)
+    writer.options(**{"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}).text(path)
 
 
 def land_array(df: DataFrame, path: str) -> None:
