@@ -154,3 +154,12 @@ def test_upsert_splits_a_hot_key(spark, shuffled_joins):
     new = spark.range(0, 60_000, 2).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
     result = joins.upsert(old, new, ["k"], ["v"], {})
     assert "skew=true" in final(result) and "FullOuter" not in final(result)
+
+
+def test_upsert_sorts_no_row_of_a_hot_key(spark, shuffled_joins):
+    old = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    new = spark.range(0, 6_000, 2).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    query = joins.upsert(old, new, ["k"], ["v"], {})._jdf.queryExecution()
+    assert re.search(r"Join LeftSemi[^\n]*\n[ :|]*:- Aggregate", query.optimizedPlan().toString())
+    plan = query.executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "LeftOuter" not in "".join(line for line in plan.split("\n") if "SortMergeJoin" in line)

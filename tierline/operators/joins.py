@@ -131,9 +131,12 @@ def upsert(
         return F.col(f"new.{quoted(name)}") if name in keys or name in owned else seeds.get(name, F.lit(None))
 
     old = existing.filter(complete).alias("old")
-    changed = old.join(new, pairs(old), "left").select(*[updated(c).alias(c) for c in existing.columns])
-    # Only keys that arrive: where few do, the existing rows are read, but not shuffled, for this.
-    taken = existing.select(*[F.col(quoted(k)) for k in keys]).alias("old").join(new, pairs(existing), "left_semi").distinct().alias("old")
+    # Rows of a key meet its one arriving row in a hash table, unsorted: what a task holds does not grow with a hot key.
+    changed = old.join(new.hint("shuffle_hash"), pairs(old), "left").select(*[updated(c).alias(c) for c in existing.columns])
+    # Only keys that arrive, each map task giving a key once: equal keys compress so well that no one sees the skew of their rows.
+    # Where few keys arrive, Spark sends them to the rows and joins before it aggregates; then the existing rows are read, but not shuffled.
+    known = existing.select(*[F.col(quoted(k)) for k in keys]).distinct()
+    taken = known.alias("old").join(new, pairs(existing), "left_semi").alias("old")
     fresh = concat_all(new.join(taken, pairs(taken), "left_anti"), incoming.filter(~complete)).alias("new")
     rows = [existing.filter(~complete), changed, fresh.select(*[seeded(c).alias(c) for c in existing.columns])]
     return reduce(lambda a, b: a.unionByName(b), rows)
