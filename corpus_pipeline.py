@@ -49,11 +49,22 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document, encoded once, and the hash of what they decode to; columns that mixing added stay."""
+    """Piece ids of the documents that mixing takes, each encoded once, and the hash of what they decode to.
+
+    All rows and the columns that mixing added stay; a document of no ``copies`` is not encoded, and its ids, their number
+    and the hash are null.
+    """
     mix = [c for c in docs.columns if c not in DOCUMENT]
-    coded = pieces.decode(pieces.encode(docs.select("doc_id", "text", "lang", "source", *mix), piece_model()).drop("text"), piece_model())
-    n_tokens = F.size("ids").cast("long").alias("n_tokens")
-    return coded.select("doc_id", "lang", "source", *mix, n_tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    taken = F.col("copies") > 0
+    chosen = docs.select("doc_id", F.when(taken, F.coalesce("text", F.lit(""))).alias("text"), "lang", "source", *mix)
+    coded = pieces.decode(pieces.encode(chosen, piece_model()).drop("text"), piece_model())
+    told = {"n_tokens": F.size("ids").cast("long"), "ids": F.col("ids"), "decoded_sha256": F.sha2("decoded", 256)}
+    return coded.select("doc_id", "lang", "source", *mix, *[F.when(taken, c).alias(n) for n, c in told.items()])
+
+
+def taken(docs: DataFrame) -> DataFrame:
+    """The corpus to train on: every row as often as its ``copies`` say, numbered by ``copy`` from 1; rows of none are left out."""
+    return docs.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -75,4 +86,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = new_dir(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return taken(docs)

@@ -139,3 +139,14 @@ def test_copies_bring_the_domains_near_their_targets(spark):
     assert len(mixing.counted(odd, labels, shares).collect()) == 4
     assert mixing.counted(odd.limit(0), labels, shares).collect() == []
     assert {r.copies for r in mixing.counted(odd, labels.limit(0), shares).collect()} == {1}
+
+
+def test_mixing_decides_what_is_encoded_and_how_often_it_comes_out(spark):
+    rows = [(1, "some words", 0), (2, "some words", 1), (3, None, 3)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 9, n) for i, t, n in rows], "doc_id long, text string, lang string, source string, n_chars long, copies int")
+    coded = corpus_pipeline.tokens(spark, docs, SF)
+    told = {r.doc_id: r for r in coded.collect()}
+    assert told[1].ids is None and told[1].n_tokens is None and told[1].decoded_sha256 is None
+    assert told[2].n_tokens == len(told[2].ids) > 0 and told[3].ids == [] and told[3].decoded_sha256
+    out = sorted((r.doc_id, r.copy) for r in corpus_pipeline.taken(coded).collect())
+    assert out == [(2, 1), (3, 1), (3, 2), (3, 3)]
