@@ -5,7 +5,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from tierline.llm import bagminhash
 from tierline.llm.flat import mixed
@@ -103,3 +105,38 @@ def test_components_of_paths_stars_and_cycles(spark):
     links = [(i + 1, i) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (202, 201), (202, 200), (300, 300)]
     told = dict(map(tuple, bagminhash.stars(spark.createDataFrame(links, "a long, b long")).collect()))
     assert told == {**{i: 0 for i in range(1, 41)}, **{k: 100 for k in range(101, 160)}, 201: 200, 202: 200}
+
+
+def test_hashing_takes_memory_by_the_number_of_runs_not_of_letters():
+    import tracemalloc
+
+    from tierline.llm.flat import hashed
+
+    lengths = np.tile([3, 9, 2000, 1], 600)
+    first = np.cumsum(lengths) - lengths
+    letters = np.random.default_rng(1).integers(0, 256, int(lengths.sum())).astype(np.uint8)
+    tracemalloc.start()
+    told = hashed(letters, first, lengths)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    alone = [hashed(letters, first[i : i + 1], lengths[i : i + 1])[0] for i in range(len(first))]
+    assert told.tolist() == [int(x) for x in alone]
+    assert most < 12 * len(letters)
+
+
+def test_a_task_holds_the_registers_of_few_texts():
+    class Given:
+        schema = T.StructType([T.StructField("text", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [f"w{i % 50} a b c d e" for i in range(4000)]
+    run = bagminhash.with_signature(Given(), "text", "brief", bagminhash.WIDE, bagminhash.briefed)
+    parts = list(run(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])))
+    assert [x for p in parts for x in p.column("text").to_pylist()] == texts
+    assert max(p.num_rows for p in parts) * bagminhash.WIDE <= 1 << 20
+    told = {}
+    for p in parts:
+        for text, brief in zip(p.column("text").to_pylist(), p.column("brief").to_pylist()):
+            assert told.setdefault(text, brief) == brief

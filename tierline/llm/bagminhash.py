@@ -43,6 +43,8 @@ ROWS = 5
 # apart by, two bits each.
 WIDE = 1024
 PLANES = 2
+# Registers that a task holds at once; short texts are many to a block.
+REGISTERS = 1 << 20
 
 _OF_WORD = numbered(WORDS, 3)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -154,7 +156,7 @@ def with_signature(df: DataFrame, text_col: str, name: str, m: int, form) -> Dat
     schema = T.StructType([*df.schema, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw, starts in blocks(batches, text_col):
+        for part, raw, starts in blocks(batches, text_col, BLOCK // 2, max(1, REGISTERS // m)):
             keys, text, n = bag(*shingles(raw, starts))
             total = np.bincount(text, n, part.num_rows).astype(np.int64)
             values = form(signatures(keys, text, n, part.num_rows, m))

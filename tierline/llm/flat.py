@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 2_000_000
+# Values that are weighed at once, each a few words of memory.
+PIECE = 1 << 17
 
 # The white space between words.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -53,13 +55,16 @@ def utf8(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, places - places[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches, with the bytes and starts of a text column."""
+def blocks(
+    batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK, rows: int | None = None
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches, of ``rows`` rows at most, with the bytes and starts of a text column."""
     for batch in batches:
         raw, starts = utf8(batch.column(column))
         at = 0
         while at < batch.num_rows:
             end = max(at + 1, int(np.searchsorted(starts, starts[at] + size, "right")) - 1)
+            end = min(end, at + rows) if rows else end
             own = starts[at : end + 1]
             yield batch.slice(at, end - at), raw[own[0] : own[-1]], own - own[0]
             at = end
@@ -93,9 +98,21 @@ def spread(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def hashed(values: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of values; no run may be empty."""
-    if not len(first):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each run of values; no run may be empty.
+
+    Runs of about ``PIECE`` values are taken at a time, so memory grows with the number of runs and the longest of them.
+    """
+    out = np.zeros(len(first), np.uint64)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(first):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] - lengths[at] + PIECE, "right")))
+        out[at:end] = _weighed(values, first[at:end], lengths[at:end])
+        at = end
+    return out
+
+
+def _weighed(values: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     heads = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
     with np.errstate(over="ignore"):
