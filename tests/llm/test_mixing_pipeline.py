@@ -150,3 +150,20 @@ def test_mixing_decides_what_is_encoded_and_how_often_it_comes_out(spark):
     assert told[2].n_tokens == len(told[2].ids) > 0 and told[3].ids == [] and told[3].decoded_sha256
     out = sorted((r.doc_id, r.copy) for r in corpus_pipeline.taken(coded).collect())
     assert out == [(2, 1), (3, 1), (3, 2), (3, 3)]
+
+
+def test_features_equal_plain_python_and_split_a_text_once(spark):
+    texts = ["", " ", "\n\n", " a", "a ", "a  b\tc\x0bd\x0ce\rf", "A#B", "\U0001f600 \u00c4 A #", "AB CD" * 30, "a a a a a", "&&&|||<>!", "[]^-\\ Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    told = df.select("text", *[c.alias(n) for n, c in mixing.features(mixing.F.col("text"), (r"(?iu)(?<!\p{L})(?:b)", "")).items()])
+    cut = lambda x, bars: sum(x >= b for b in bars)
+    for r in told.collect():
+        words, chars = re.split(r"[\x20\x09-\x0D]+", r.text), max(len(r.text), 1)
+        assert r.tokens == len([w for w in words if w])
+        assert r.upper == cut(sum("A" <= c <= "Z" for c in r.text) / chars, (0.1, 0.4))
+        assert r.signs == cut(sum(c in "#*$%&|<>!" for c in r.text) / chars, (0.001, 0.01, 0.06))
+        assert r.repeats == cut(len(set(words)) / len(words), (0.1, 0.3, 0.5))
+        assert r.length == cut(len(words), (12, 60))
+        assert (r.marker_0, r.marker_1) == (int(bool(re.search(r"(?<![^\W\d_])b", r.text, re.I))), 0)
+    # A lambda keeps Spark from sharing what is below it, and from compiling the projection with its scan.
+    assert "lambda" not in told._jdf.queryExecution().optimizedPlan().toString()

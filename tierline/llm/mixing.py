@@ -38,7 +38,7 @@ STEPS = 60
 PATIENCE = 12
 TOLERANCE = 1e-6
 
-UPPER = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1))
+UPPER = "A-Z"
 SIGNS = "#*$%&|<>!"
 
 
@@ -64,14 +64,17 @@ BINS = {"upper": 3, "signs": 4, "repeats": 4, "length": 3}
 
 
 def features(text: Column, patterns: tuple[str, ...]) -> dict[str, Column]:
+    """Expressions without lambdas, so that Spark splits a text once for all that ask for its words."""
     words = F.split(text, r"[\x20\x09-\x0D]+", -1)
     chars = F.greatest(F.length(text), F.lit(1))
     count = F.size(words)
-    share = lambda signs: (F.length(text) - F.length(F.translate(text, signs, ""))) / chars
+    # One pass over the text leaves both kinds, which are few.
+    kept = F.regexp_replace(text, f"[^{UPPER}{SIGNS}]+", "")
+    signs = F.length(F.regexp_replace(kept, f"[{UPPER}]+", ""))
     return {
-        "tokens": F.size(F.filter(words, lambda w: w != "")).cast("long"),
-        "upper": _cut(share(UPPER), (0.1, 0.4)),
-        "signs": _cut(share(SIGNS), (0.001, 0.01, 0.06)),
+        "tokens": F.size(F.array_remove(words, "")).cast("long"),
+        "upper": _cut((F.length(kept) - signs) / chars, (0.1, 0.4)),
+        "signs": _cut(signs / chars, (0.001, 0.01, 0.06)),
         "repeats": _cut(F.size(F.array_distinct(words)) / count, (0.1, 0.3, 0.5)),
         "length": _cut(count.cast("double"), (12.0, 60.0)),
         **{f"marker_{i}": F.coalesce(text.rlike(p), F.lit(False)).cast("int") if p else F.lit(0) for i, p in enumerate(patterns)},
