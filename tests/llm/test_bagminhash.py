@@ -140,3 +140,38 @@ def test_a_task_holds_the_registers_of_few_texts():
     for p in parts:
         for text, brief in zip(p.column("text").to_pylist(), p.column("brief").to_pylist()):
             assert told.setdefault(text, brief) == brief
+
+
+def test_components_run_no_round_to_learn_that_the_last_one_was_the_last(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(bagminhash, "checkpointed", lambda df, f=bagminhash.checkpointed: rounds.append(df) or f(df))
+    links = [(7, k) for k in range(8, 40)] + [(41, 40), (40, 41), (50, 50), (None, 1), (1, None)]
+    told = dict(map(tuple, bagminhash.stars(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert told == {**{k: 7 for k in range(8, 40)}, 41: 40}
+    assert len(rounds) == 1
+
+
+def test_components_run_few_tasks(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "20")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = random.Random(9)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(500)]
+    frame = session.createDataFrame(links, "a long, b long").repartition(20)
+    context, group = session.sparkContext, "components"
+    context.setJobGroup(group, "")
+    told = bagminhash.stars(frame)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    tasks = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    root = {k: k for pair in links for k in pair}
+
+    def of(k):
+        return k if root[k] == k else of(root[k])
+
+    for a, b in links:
+        root[max(of(a), of(b))] = min(of(a), of(b))
+    assert dict(map(tuple, told.collect())) == {k: of(k) for k in root if of(k) != k}
+    # Each leaves files on disk: 1653 tasks when every end of a link was joined by itself.
+    assert 0 < tasks < 55 * 20

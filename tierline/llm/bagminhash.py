@@ -200,23 +200,26 @@ def stars(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (node, root), root the least node, for every node but the roots.
 
     Large-star and small-star steps in turn. Each is a minimum per node, taken before the
-    shuffle where it can be, and a join back that splits a node with very many links.
+    shuffle where it can be, and one join back that splits a node with very many links. What a
+    round shuffles stays on disk until the driver collects its garbage, so a round has few
+    shuffles and none is run to learn that the one before was the last.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
     edges = checkpointed(edges)
-    seen = None
     while True:
-        both = edges.select("v", "u").union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
+        both = edges.select(F.inline(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")))))
+        # Done when all are stars: a node that has a lesser one has no other link.
+        per_node = both.groupBy("v").agg(F.count("*").alias("links"), F.min("u").alias("m"))
+        if per_node.filter("m < v AND links > 1").isEmpty():
+            return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
         least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("m", "v").alias("m"))
-        large = both.filter("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("v <> u")
-        down = large.union(edges.join(least, "v").select("v", F.col("m").alias("u")).filter("v <> u")).distinct()
+        # The greater end of each link goes to the least node around either end; around itself, once.
+        around = both.join(least, "v").filter("u > v OR u = m")
+        down = around.select(F.greatest("v", "u").alias("v"), F.col("m").alias("u")).distinct()
         lowest = down.groupBy("v").agg(F.min("u").alias("m"))
-        small = down.join(lowest, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("v <> u")
-        edges = checkpointed(small.union(lowest.select("v", F.col("m").alias("u"))).distinct())
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("h")).first()
-        if state == seen:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
-        seen = state
+        # All of a node's links but the least go from there to the least; that one stays.
+        up = F.when(F.col("u") == F.col("m"), F.col("v")).otherwise(F.col("u"))
+        edges = checkpointed(down.join(lowest, "v").select(up.alias("v"), F.col("m").alias("u")).distinct())
 
 
 def _compared(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
@@ -253,7 +256,7 @@ def _links(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     rows = checkpointed(rows.select("row", "text", "bands").join(meeting, "row", "left_semi"))
     central = members.groupBy("node").agg(F.sum("size").alias("c"))
     led = members.join(central, "node").groupBy("bucket").agg(F.max(F.struct("c", (-F.col("node")).alias("o"))).alias("x"))
-    leader = led.select("bucket", (-F.col("x.o")).alias("leader"))
+    leader = checkpointed(led.select("bucket", (-F.col("x.o")).alias("leader")))
     first = checkpointed(_pairs(members.join(leader, "bucket").filter("node <> leader"), "node", "leader"))
     links = _compared(first, rows, similarity)
     roots = stars(links)
